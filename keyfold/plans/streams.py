@@ -1,2 +1,110 @@
-"""Streaming forms as queries."""
+"""Streaming forms and user handlers as queries.
+
+The test tables are read as file streams and run to their end. A stream only
+closes what its watermark has passed, so windows, timers and deadlines later than
+the last event are not in the result.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keyfold.functions.times import from_micros, instant, micros
+from keyfold.plans import tables
+from keyfold.streaming import dedup, handlers, requests
+from keyfold.streaming.handler import run_stream, run_table
+from keyfold.streaming.run import run_available
+
+HOUR_US = tables.HOUR_US
+SIX_HOURS_S = 6 * 3600
+PARTITIONS = 8
 STREAMS = {}
+
+
+def stream(fn):
+    STREAMS[fn.__name__] = fn
+    return fn
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = tables.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet")
+
+
+def _records(source: DataFrame, payload) -> DataFrame:
+    return source.select(
+        F.lit("events").alias("topic"), (F.col("user_id") % 4).cast("int").alias("part"),
+        F.col("event_id").alias("off"), instant("ts").alias("ts"),
+        F.col("user_id").cast("string").alias("key"), payload.alias("payload"),
+    )
+
+
+def _finish(df: DataFrame, name: str) -> DataFrame:
+    return run_available(df, f"{name}-{uuid.uuid4().hex}", PARTITIONS)
+
+
+def _sent(rows: DataFrame) -> DataFrame:
+    body = F.from_json("body", "kind string, window_start_us bigint, ids array<bigint>")
+    return rows.where("kind = 'emit'").select("key", body.alias("b")).select(
+        "key", "b.kind", from_micros("b.window_start_us").alias("window_start"),
+        F.size("b.ids").cast("bigint").alias("n"), F.posexplode("b.ids").alias("pos", "event_id"))
+
+
+@stream
+def window_notify_stream(spark, sf_dir):
+    handler = handlers.WindowNotify(SIX_HOURS_S, 3)
+    records = _records(_read(spark, sf_dir, "events"), F.col("props"))
+    return _sent(_finish(run_stream(records, handler, handler.collections), "window-notify"))
+
+
+@stream
+def window_notify_handler(spark, sf_dir):
+    """The same handler over the table, tombstones included."""
+    handler = handlers.WindowNotify(3 * 24 * 3600, 100)
+    return _sent(run_table(tables.records(spark, sf_dir), handler, handler.collections))
+
+
+@stream
+def keyed_counter_handler(spark, sf_dir):
+    handler = handlers.KeyCounter(2 * 24 * 3600)
+    records = _records(tables.table(spark, sf_dir, "events"), F.col("props"))
+    count = F.get_json_object("body", "$.count").cast("bigint")
+    return run_table(records, handler, handler.collections).select("key", "off", count.alias("count"))
+
+
+def _timer_payload():
+    op = tables.pick("event_type", {
+        "view": "schedule", "click": "schedule", "signup": "clear_and_schedule", "error": "clear",
+    }, "none")
+    delay_h = tables.pick("event_type", {"view": 6, "click": 24, "signup": 12})
+    return F.to_json(F.struct(op.alias("op"), (micros("ts") + delay_h * HOUR_US).alias("fire_us")))
+
+
+@stream
+def timer_stream(spark, sf_dir):
+    records = _records(_read(spark, sf_dir, "events"), _timer_payload())
+    fired = _finish(run_stream(records, handlers.TimerLog()), "timers").where("kind = 'emit'")
+    return fired.select(
+        "key", from_micros(F.get_json_object("body", "$.fire_us").cast("bigint")).alias("fire_at"))
+
+
+@stream
+def dedup_stream(spark, sf_dir):
+    kind = tables.pick("event_type", {
+        "purchase": "order.purchase", "signup": "account.signup",
+        "click": "user.click", "view": "admin.user.view",
+    })
+    records = _records(_read(spark, sf_dir, "events"), kind)
+    kept = dedup.dedup_stream(records, event_id="payload")
+    return _finish(kept, "dedup").select("key", "off", F.col("payload").alias("type"))
+
+
+@stream
+def request_outcomes_stream(spark, sf_dir):
+    orders = tables.requests(spark, sf_dir, _read(spark, sf_dir, "orders"))
+    answers = tables.responses(spark, sf_dir, _read(spark, sf_dir, "lineitem"))
+    rows = _finish(requests.request_outcomes_stream(orders, answers), "requests")
+    return rows.select("request_id", "subsystem", "ok", "value", "kind", "message", "resp_ts")

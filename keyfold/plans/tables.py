@@ -189,8 +189,9 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 SUBSYSTEMS = ["inventory", "billing", "email"]
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
+    return orders.select(
         F.col("o_orderkey").alias("request_id"),
         instant("o_orderdate").alias("ts"),
         F.col("o_custkey").cast("string").alias("key"),
@@ -200,10 +201,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def responses(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Line items as responses; some of them carry times before their request."""
     sent = requests(spark, sf_dir).select("request_id", F.col("ts").alias("_sent"))
-    lines = table(spark, sf_dir, "lineitem").select(
+    lineitem = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
+    lines = lineitem.select(
         F.col("l_orderkey").alias("request_id"),
         # unique within a request
         ((F.col("l_linenumber").cast("bigint") * 10**9 + F.col("l_partkey")) * 10**7

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,14 +35,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="keyfold-checkpoint-")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only where none is named."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is named."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="keyfold-checkpoint-"))
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(spark))
     return context.getCheckpointDir()
 
 
