@@ -12,10 +12,12 @@ it streams through in key order.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -363,6 +365,13 @@ class HandlerProcessor(StatefulProcessor):
         pass
 
 
+def _ship(handler) -> None:
+    """Send the handler's own module to the workers as code, too."""
+    module = sys.modules.get(type(handler).__module__)
+    if module is not None and module.__name__ != "__main__":
+        cloudpickle.register_pickle_by_value(module)
+
+
 def _input(records: DataFrame) -> DataFrame:
     return records.select(
         "topic", "key", "part", "off", "ts", micros("ts").alias("ts_us"), "payload"
@@ -386,6 +395,7 @@ def run_stream(
     ``dead_letter`` or ``dropped``.
     """
     check_handler(handler)
+    _ship(handler)
     registered = register(collections)
     configure(records.sparkSession)
     rows = (
@@ -451,6 +461,7 @@ def run_table(
     state is held. Use the operators where one fits, they split hot keys.
     """
     check_handler(handler)
+    _ship(handler)
     registered = register(collections)
     configure(records.sparkSession)
     ordered = _input(records).drop("ts").repartition(*KEY).sortWithinPartitions(*KEY, "ts_us", "part", "off")
