@@ -39,12 +39,15 @@ def string_field(document: Column, name: str) -> Column:
 
 
 def with_event_metadata(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Add ``event_id`` and ``event_type`` from string fields ``id`` and ``type``."""
-    document = parsed(payload)
-    return df.withColumns({
+    """Add ``event_id`` and ``event_type`` from string fields ``id`` and ``type``.
+
+    The document is a column of its own first, so that it is parsed once.
+    """
+    document = F.col("_document")
+    return df.withColumn("_document", parsed(payload)).withColumns({
         "event_id": string_field(document, "id"),
         "event_type": string_field(document, "type"),
-    })
+    }).drop("_document")
 
 
 def decode_payload(
@@ -57,8 +60,9 @@ def decode_payload(
     """
     present = df.where(F.col(payload).isNotNull())
     document = parsed(payload)
-    value = document if schema is None else F.from_json(F.col(payload), schema)
-    good = present.where(document.isNotNull()).withColumn("document", value)
+    good = present.withColumn("document", document).where("document IS NOT NULL")
+    if schema is not None:
+        good = good.withColumn("document", F.from_json(F.col(payload), schema))
     broken = present.where(document.isNull()).withColumns({
         "error_category": F.lit("permanent"),
         "error_message": F.lit("message payload is not JSON"),

@@ -23,3 +23,8 @@ def from_micros(us: Column | str) -> Column:
 def round_timer(ts: Column | str) -> Column:
     """Timer times keep whole seconds, rounded half up."""
     return F.date_trunc("second", instant(ts) + F.expr("INTERVAL 500 MILLISECONDS"))
+
+
+def units(column: str, size: int) -> Column:
+    """How many whole units of ``size`` a bigint column holds, rounded down."""
+    return F.expr(f"(`{column}` - pmod(`{column}`, {size}L)) div {size}L")

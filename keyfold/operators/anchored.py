@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyfold.functions.times import units
+
 SECOND_US = 1_000_000
 MILLISECOND_US = 1_000
 
@@ -109,7 +111,7 @@ def anchored_slots(
     if width_us < unit_us:
         raise ValueError("a window must last at least one unit")
     by = list(by)
-    slot = F.floor(F.col(us) / F.lit(unit_us)).cast("bigint").alias("slot")
+    slot = units(us, unit_us).alias("slot")
     if tie is None:
         firsts = df.groupBy(*by, slot).agg(F.min(us).alias("first_us")).withColumn(
             "first_tie", F.lit(0).cast("bigint")
@@ -143,5 +145,4 @@ def assign_windows(
 ) -> DataFrame:
     """Every record with ``start_us``, ``start_tie`` and ``end_us`` of its window."""
     slots = anchored_slots(df, by, us, width_us, unit_us, half_up, tie).drop("opens")
-    slot = F.floor(F.col(us) / F.lit(unit_us)).cast("bigint")
-    return df.withColumn("slot", slot).join(slots, [*by, "slot"]).drop("slot")
+    return df.withColumn("slot", units(us, unit_us)).join(slots, [*by, "slot"]).drop("slot")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.operators.anchored import key_at, key_changes
-from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, running
+from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, hot_keys, running
 from keyfold.schema import OP_KEY
 from keyfold.session import materialize
 
@@ -142,10 +142,6 @@ def clamp_prefix(df: DataFrame, by: Sequence[str], order: str, totals: bool = Fa
     )
 
 
-def _held(length, step, low, high):
-    return F.least(F.greatest(length + step, low), high)
-
-
 def deque_trace(
     ops: DataFrame,
     capacity: int | None = None,
@@ -160,27 +156,31 @@ def deque_trace(
     """
     by = list(by)
     cap = UNBOUNDED if capacity is None else capacity
-    group = [*by, "_chunk"]
     op = F.col("op")
     low, high = F.lit(-UNBOUNDED), F.lit(UNBOUNDED)
-    narrow = ops.select(*by, "seq", "op").withColumns({
-        "_chunk": by_position("seq", chunk_rows),
-        "step": F.when(op.isin(*WRITES), 1).when(op.isin(*REMOVALS), -1).otherwise(0).cast("bigint"),
-        "low": F.when(op.isin(*REMOVALS, "clear"), F.lit(0)).otherwise(low).cast("bigint"),
-        "high": F.when(op.isin(*WRITES), F.lit(cap)).when(op == "clear", F.lit(0))
-        .otherwise(high).cast("bigint"),
-    })
-    chunks = clamp_prefix(narrow, group, "seq", totals=True)
-    entry = clamp_prefix(chunks, by, "_chunk").select(
-        *group, _held(F.lit(0), F.col("step"), F.col("low"), F.col("high")).alias("_entry")
-    )
-    before = (
-        clamp_prefix(narrow, group, "seq")
-        .join(entry.where("_entry > 0"), group, "left")
-        .withColumn("_before", F.greatest(F.lit(0), _held(
-            F.coalesce("_entry", F.lit(0)), F.col("step"), F.col("low"), F.col("high")
-        )))
-    )
+    clamp = {
+        "step": F.when(op.isin(*WRITES), 1).when(op.isin(*REMOVALS), -1).otherwise(0),
+        "low": F.when(op.isin(*REMOVALS, "clear"), F.lit(0)).otherwise(low),
+        "high": F.when(op.isin(*WRITES), F.lit(cap)).when(op == "clear", F.lit(0)).otherwise(high),
+    }
+    narrow = ops.select(*by, "seq", "op", *[c.cast("bigint").alias(n) for n, c in clamp.items()])
+    hot = hot_keys(narrow, by, chunk_rows)
+
+    def entered(length):
+        return F.greatest(F.lit(0), F.least(
+            F.greatest(length + F.col("step"), F.col("low")), F.col("high")))
+
+    if hot.any:
+        group = [*by, "_chunk"]
+        narrow = hot.mark(narrow, by).withColumn(
+            "_chunk", F.when(F.col("_hot"), by_position("seq", chunk_rows)).otherwise(0))
+        chunks = clamp_prefix(narrow.where("_hot"), group, "seq", totals=True)
+        entry = clamp_prefix(chunks, by, "_chunk").select(*group, entered(F.lit(0)).alias("_entry"))
+        placed = clamp_prefix(narrow.drop("_hot"), group, "seq").join(
+            entry.where("_entry > 0"), group, "left")
+        before = placed.withColumn("_before", entered(F.coalesce("_entry", F.lit(0))))
+    else:
+        before = clamp_prefix(narrow, by, "seq").withColumn("_before", entered(F.lit(0)))
     held = F.col("_before")
     length = (
         F.when(op.isin(*WRITES), F.least(held + 1, F.lit(cap)))
@@ -198,7 +198,7 @@ def deque_trace(
     sized = materialize(before.select(*by, "seq", "op", "_before", length.alias("length")))
     traced = running(
         sized, by, ["seq"], by_position("seq", chunk_rows),
-        {"back": Running("sum", step_back)},
+        {"back": Running("sum", step_back)}, hot=hot,
     ).withColumn("front", F.col("back") - F.col("length"))
     slot = (
         F.when(op == "push", F.col("back") - 1)
@@ -253,7 +253,7 @@ def deque_removed(
     # A position may be written and emptied again and again: scan it in chunks too.
     written = running(
         touched, [*by, "slot"], ["seq"], by_position("seq", chunk_rows),
-        {"_writer": Running("last", writer)},
+        {"_writer": Running("last", writer)}, chunk_rows=chunk_rows,
     )
     took = written.where(F.col("op").isin(*REMOVALS)).select(
         *by, "seq", "op", F.col("_writer").alias("from_seq")

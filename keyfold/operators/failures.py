@@ -74,7 +74,7 @@ def deferred_queue(
     until = F.when(parked, F.coalesce(F.col("_resolved"), never))
     scanned = running(
         records, by, ["record_no"], by_position("record_no", chunk_rows),
-        {"_until": Running("max", until, before=True)},
+        {"_until": Running("max", until, before=True)}, chunk_rows=chunk_rows,
     )
     state = (
         F.when(F.col("_until") > F.col("_arrived"), "waiting").when(parked, "parked").otherwise("clear")

@@ -1,17 +1,21 @@
 """Running aggregates over per-key histories of any length.
 
 A plain window ``partitionBy(key).orderBy(seq)`` sends all rows of a key to one
-task, which fails when one key holds a large part of the table. Every running
-aggregate used here is associative, so it can be computed in two levels:
-
-1. cut each key's history into chunks of bounded size and run the window inside
-   ``(key, chunk)``: the shuffle spreads a hot key over all tasks;
+task, which fails when one key holds a large part of the table. So the keys with
+too many rows are looked up first: a count per key, combined before its small
+shuffle. Where there are none the plain window is used, one shuffle in all.
+Otherwise the hot keys are cut up. Every running aggregate used here is
+associative, so it can be computed in two levels:
+
+1. cut a hot key's history into chunks of bounded size and run the window inside
+   ``(key, chunk)``: the shuffle spreads the key over all tasks;
 2. reduce every chunk to one row, run the window over those few rows, and join
    the value carried into each chunk back to its rows.
 
 A chunk is a non-decreasing function of the order columns, so that chunks of a
 key follow each other. ``by_position`` divides a unique integer position and
 ``by_minute`` a time line with distinct instants; both bound the rows of a chunk.
+The list of hot keys only chooses the plan; it never changes a result.
 Key columns must not be null.
 """
 
@@ -25,7 +29,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyfold.functions.times import units
+
 CHUNK_ROWS = 1 << 18
+# A key is cut up when it has more rows than this many chunks.
+HOT_CHUNKS = 16
+# More hot keys than this are not listed: then every key is cut up.
+MAX_LISTED = 10_000
 MINUTE_US = 60_000_000
 
 
@@ -42,11 +52,42 @@ class Running:
 
 
 def by_position(position: str, rows: int = CHUNK_ROWS) -> Column:
-    return F.floor(F.col(position) / F.lit(rows)).cast("bigint")
+    return units(position, rows)
 
 
 def by_minute(micros: str) -> Column:
-    return F.floor(F.col(micros) / F.lit(MINUTE_US)).cast("bigint")
+    return units(micros, MINUTE_US)
+
+
+@dataclass(frozen=True)
+class Hot:
+    """The keys to cut up: listed in a small frame, or all of them."""
+
+    any: bool
+    listed: DataFrame | None = None
+
+    def mark(self, df: DataFrame, by: Sequence[str]) -> DataFrame:
+        """Add ``_hot``, true for rows of the keys to cut up."""
+        if not self.any:
+            return df.withColumn("_hot", F.lit(False))
+        if self.listed is None:
+            return df.withColumn("_hot", F.lit(True))
+        # at most MAX_LISTED keys
+        marked = df.join(F.broadcast(self.listed), list(by), "left")
+        return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+
+
+def hot_keys(df: DataFrame, by: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> Hot:
+    """Find the keys with too many rows for one task. Runs a job on the key columns."""
+    counted = df.groupBy(*by).agg(F.count("*").alias("_rows"))
+    crowded = counted.where(F.col("_rows") > chunk_rows * HOT_CHUNKS).select(*by)
+    found = crowded.limit(MAX_LISTED + 1).collect()
+    if len(found) > MAX_LISTED:
+        return Hot(True)
+    if not found:
+        return Hot(False)
+    listed = df.sparkSession.createDataFrame(found, crowded.schema)
+    return Hot(True, listed.withColumn("_hot", F.lit(True)))
 
 
 _OVER = {
@@ -73,35 +114,42 @@ def running(
     chunk: Column | Sequence[Column],
     out: Mapping[str, Running],
     following: bool = False,
+    chunk_rows: int = CHUNK_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Add running aggregates over the rows up to the current one.
 
     With ``following`` the frame is the current row and those after it; ``last``
-    then means the next non-null value.
+    then means the next non-null value. ``hot`` saves the count where the caller
+    knows the crowded keys already.
     """
-    chunks = [chunk] if isinstance(chunk, Column) else list(chunk)
-    chunk_names = [f"_chunk{i}" for i in range(len(chunks))]
+    hot = hot_keys(df, by, chunk_rows) if hot is None else hot
     values = {name: f"_v_{name}" for name in out}
-    rows = df.withColumns({
-        **dict(zip(chunk_names, chunks)),
-        **{values[name]: r.value for name, r in out.items()},
-    })
-    group = [*by, *chunk_names]
-
-    def ordered(names):
-        return [F.col(n).desc() if following else F.col(n).asc() for n in names]
+    rows = df.withColumns({values[name]: r.value for name, r in out.items()})
+    kept = [c for c in df.columns if c not in out]
 
     def window(partition, names, before):
         return (
             Window.partitionBy(*partition)
-            .orderBy(*ordered(names))
+            .orderBy(*[F.col(n).desc() if following else F.col(n).asc() for n in names])
             .rowsBetween(Window.unboundedPreceding, -1 if before else 0)
         )
 
-    local = rows.withColumns({
-        name: _OVER[r.kind](F.col(values[name])).over(window(group, order, r.before))
-        for name, r in out.items()
+    def over(name, r, group):
+        return _OVER[r.kind](F.col(values[name])).over(window(group, order, r.before)).alias(name)
+
+    if not hot.any:
+        return rows.select(*kept, *[over(name, r, by) for name, r in out.items()])
+
+    chunks = [chunk] if isinstance(chunk, Column) else list(chunk)
+    names = [f"_chunk{i}" for i in range(len(chunks))]
+    group = [*by, *names]
+    rows = hot.mark(rows, by)
+    rows = rows.withColumns({
+        name: F.when(F.col("_hot"), c.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        for name, c in zip(names, chunks)
     })
+    local = rows.select(*kept, *names, *[over(name, r, group) for name, r in out.items()])
 
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
@@ -112,24 +160,15 @@ def running(
         pick = F.min_by if following else F.max_by
         return pick(value, F.when(value.isNotNull(), position))
 
-    totals = rows.groupBy(*group).agg(
+    totals = rows.where("_hot").groupBy(*group).agg(
         *[total(name, r).alias(f"_t_{name}") for name, r in out.items()]
     )
     carried = totals.select(*group, *[
-        _OVER[r.kind](F.col(f"_t_{name}"))
-        .over(window(by, chunk_names, True))
-        .alias(f"_c_{name}")
-        for name, r in out.items()
-    ])
-    # The first chunk of a key carries nothing in; most keys have only that one.
-    carried = carried.where(
-        reduce(or_, [F.col(f"_c_{name}").isNotNull() for name in out])
-    )
-
-    joined = local.join(carried, group, "left")
-    return joined.select(*[c for c in df.columns if c not in out], *[
-        _combine(r.kind, F.col(f"_c_{name}"), F.col(name)).alias(name)
+        _OVER[r.kind](F.col(f"_t_{name}")).over(window(by, names, True)).alias(f"_c_{name}")
         for name, r in out.items()
+    ]).where(reduce(or_, [F.col(f"_c_{name}").isNotNull() for name in out]))
+    return local.join(carried, group, "left").select(*kept, *[
+        _combine(r.kind, F.col(f"_c_{name}"), F.col(name)).alias(name) for name, r in out.items()
     ])
 
 
@@ -139,6 +178,7 @@ def sliding_sums(
     micros: str,
     width_us: int,
     sums: Mapping[str, Column],
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Sums over ``[t - width, t]`` at every distinct instant ``t`` of a key.
 
@@ -146,6 +186,7 @@ def sliding_sums(
     sliding sum is a running sum over twice the rows: no row is ever compared
     with another, whatever the density of the window. Values must be integers.
     """
+    hot = hot_keys(df, by, chunk_rows)
     instants = df.groupBy(*by, F.col(micros).alias("_t")).agg(
         *[F.sum(c).cast("bigint").alias(f"_s_{n}") for n, c in sums.items()]
     )
@@ -164,7 +205,7 @@ def sliding_sums(
     )
     summed = running(
         both, by, ["_at", "_leaves"], by_minute("_at"),
-        {n: Running("sum", F.col(f"_d_{n}")) for n in sums},
+        {n: Running("sum", F.col(f"_d_{n}")) for n in sums}, hot=hot,
     )
     return summed.where("_leaves = 0").select(
         *by, F.col("_at").alias(micros), *[F.col(n) for n in sums]
@@ -180,6 +221,7 @@ def asof_join(
     values: Sequence[str],
     tie: str,
     forward: bool = False,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Attach to each left row the nearest right row of its key in time.
 
@@ -188,22 +230,30 @@ def asof_join(
     keeps the last of them, forward the first). Adds ``hit``, a struct of
     ``right_us`` and ``values``, null where nothing matches.
 
-    Right rows and left instants are first reduced to one per ``(key, instant)``,
-    then merged into one time line and scanned; no pairs are formed.
+    Both sides are merged into one time line and scanned; no pairs are formed.
+    With hot keys the sides are first reduced to one row per ``(key, instant)``,
+    which bounds the chunks, and the answers are joined back.
     """
-    pick = F.min_by if forward else F.max_by
-    found = right.groupBy(*by, F.col(right_us).alias("_at")).agg(
-        pick(F.struct(F.col(right_us), *values), F.col(tie)).alias("_hit")
-    )
+    by = list(by)
+    hot = hot_keys(left.select(*by).unionAll(right.select(*by)), by, chunk_rows)
     # In scan order a right row comes before the left instant it equals.
     right_side, left_side = (1, 0) if forward else (0, 1)
-    probes = left.select(*by, F.col(left_us).alias("_at")).distinct()
-    line = found.withColumn("_side", F.lit(right_side)).unionByName(
-        probes.withColumn("_side", F.lit(left_side)), allowMissingColumns=True
+    hit = {"hit": Running("last", F.col("_hit"))}
+    found = right.select(
+        *by, F.col(right_us).alias("_at"), F.struct(F.col(right_us), *values).alias("_hit"),
+        F.col(tie).alias("_tie"), F.lit(right_side).alias("_side"),
     )
+    if not hot.any:
+        line = left.withColumns({"_at": F.col(left_us), "_side": F.lit(left_side)}).unionByName(
+            found, allowMissingColumns=True
+        )
+        scanned = running(line, by, ["_at", "_side", "_tie"], [], hit, forward, hot=hot)
+        return scanned.where(F.col("_side") == left_side).select(*left.columns, "hit")
+    pick = F.min_by if forward else F.max_by
+    instants = found.groupBy(*by, "_at", "_side").agg(pick("_hit", "_tie").alias("_hit"))
+    probes = left.select(*by, F.col(left_us).alias("_at"), F.lit(left_side).alias("_side")).distinct()
+    line = instants.unionByName(probes, allowMissingColumns=True)
     scanned = running(
-        line, by, ["_at", "_side"], by_minute("_at"),
-        {"hit": Running("last", F.col("_hit"))}, following=forward,
+        line, by, ["_at", "_side"], by_minute("_at"), hit, forward, hot=hot
     ).where(F.col("_side") == left_side)
-    hits = scanned.select(*by, F.col("_at").alias(left_us), "hit")
-    return left.join(hits, [*by, left_us], "left")
+    return left.join(scanned.select(*by, F.col("_at").alias(left_us), "hit"), [*by, left_us], "left")

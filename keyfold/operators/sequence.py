@@ -21,7 +21,7 @@ def per_key_sequence(
     """Number each key's records in delivery order, from 1 (``n``)."""
     return running(
         records, by, ["part", "off"], [F.col("part"), by_position("off", chunk_rows)],
-        {"n": Running("sum", F.lit(1).cast("bigint"))},
+        {"n": Running("sum", F.lit(1).cast("bigint"))}, chunk_rows=chunk_rows,
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.functions.times import from_micros, micros, round_timer
-from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, running
+from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, hot_keys, running
 from keyfold.schema import KEY
 
 SCHEDULES = ("schedule", "clear_and_schedule")
@@ -54,6 +54,7 @@ def timer_fold(
     judged = running(
         line, by, ["seq", "_timer"], by_position("seq", chunk_rows),
         {"_first_clear": Running("min", F.col("_cleared"))}, following=True,
+        hot=hot_keys(ops, by, chunk_rows),
     )
     return judged.where(
         "_timer = 1 AND (_first_clear IS NULL OR _first_clear >= _at)"

@@ -29,7 +29,7 @@ def committed_ops(
     control = F.when(F.col("op").isin("commit", "rollback"), F.col("op"))
     decided = running(
         ops, [*by, "attempt"], ["seq"], by_position("seq", chunk_rows),
-        {"_next": Running("last", control)}, following=True,
+        {"_next": Running("last", control)}, following=True, chunk_rows=chunk_rows,
     )
     finished = ["ok", "crashed"] if read_uncommitted else ["ok"]
     kept = F.coalesce(F.col("_next") == "commit", F.col("outcome").isin(finished))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfold.functions.times import micros
-from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, running
+from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, hot_keys, running
 from keyfold.schema import KEY, OP_KEY
 
 
@@ -33,7 +33,8 @@ def value_asof(
     """
     write = F.when(F.col("op").isin("set", "clear"), F.struct("op", "item"))
     seen = running(
-        ops, by, ["seq"], by_position("seq", chunk_rows), {"_w": Running("last", write)}
+        ops, by, ["seq"], by_position("seq", chunk_rows), {"_w": Running("last", write)},
+        chunk_rows=chunk_rows,
     )
     return seen.withColumn("current", F.when(F.col("_w.op") == "set", F.col("_w.item"))).drop("_w")
 
@@ -46,22 +47,28 @@ def keyed_counter(
 ) -> DataFrame:
     """Count each key's records (``count``), from 1 again once idle for the TTL.
 
-    Inside a chunk the count starts over at each idle gap; a chunk-level pass
-    finds what the chunk takes over from the ones before it.
+    Inside a chunk of a hot key the count starts over at each idle gap; a
+    chunk-level pass finds what the chunk takes over from the ones before it.
     """
     ttl_us = ttl_seconds * 1_000_000
-    group = [*by, "_part", "_chunk"]
-    rows = records.withColumns({
-        "_us": micros("ts"), "_part": F.col("part"), "_chunk": by_position("off", chunk_rows)
+    hot = hot_keys(records, by, chunk_rows)
+    group = [*by, "_part", "_chunk"] if hot.any else list(by)
+    rows = hot.mark(records.withColumn("_us", micros("ts")), by).withColumns({
+        "_part": F.when(F.col("_hot"), F.col("part")).otherwise(0),
+        "_chunk": F.when(F.col("_hot"), by_position("off", chunk_rows)).otherwise(0),
     })
-    inside = Window.partitionBy(*group).orderBy("off")
+    inside = Window.partitionBy(*group).orderBy("part", "off")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     numbered = rows.withColumns({
         "_n": F.row_number().over(inside).cast("bigint"),
         "_idle": F.col("_us") - F.lag("_us").over(inside) >= ttl_us,
     }).withColumn("_base", F.max(F.when(F.col("_idle"), F.col("_n") - 1)).over(upto))
 
-    per_chunk = numbered.groupBy(*group).agg(
+    inner = F.col("_n") - F.coalesce("_base", F.lit(0))
+    if not hot.any:
+        return numbered.select(*records.columns, inner.alias("count"))
+
+    per_chunk = numbered.where("_hot").groupBy(*group).agg(
         F.min_by("_us", "off").alias("first_us"),
         F.max_by("_us", "off").alias("last_us"),
         F.max("_n").alias("n"),
@@ -89,9 +96,7 @@ def keyed_counter(
         .where("_carry IS NOT NULL")
         .select(*group, "_carry")
     )
-    count = F.when(F.col("_base").isNotNull(), F.col("_n") - F.col("_base")).otherwise(
-        F.col("_n") + F.coalesce("_carry", F.lit(0))
-    )
+    count = inner + F.when(F.col("_base").isNull(), F.coalesce("_carry", F.lit(0))).otherwise(0)
     return numbered.join(carried, group, "left").select(
         *records.columns, count.alias("count")
     )

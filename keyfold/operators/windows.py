@@ -47,7 +47,7 @@ def window_notify(
     if excise is not None:
         rows = running(
             rows, by, ["part", "off"], [F.col("part"), by_position("off", chunk_rows)],
-            {"_gen": Running("sum", F.col(excise).cast("bigint"))},
+            {"_gen": Running("sum", F.col(excise).cast("bigint"))}, chunk_rows=chunk_rows,
         )
         closed = rows.where(excise).select(
             *by, (F.col("_gen") - 1).alias("_gen"), F.col("_us").alias("_excised")
@@ -60,8 +60,8 @@ def window_notify(
     placed = assign_windows(rows, group, "_us", open_s * SECOND, tie="off").withColumn(
         "_first", (F.col("_us") == F.col("start_us")) & (F.col("off") == F.col("start_tie"))
     )
-    fire = F.floor((F.col("start_us") + width_seconds * SECOND + SECOND // 2) / F.lit(SECOND))
-    placed = placed.withColumn("fire_us", fire.cast("bigint") * SECOND)
+    due = F.col("start_us") + width_seconds * SECOND + SECOND // 2
+    placed = placed.withColumn("fire_us", due - F.pmod(due, F.lit(SECOND)))
     if ttl_seconds is not None:
         placed = placed.where(F.col("_first") | (F.col("_us") + ttl_seconds * SECOND > F.col("fire_us")))
 
