@@ -6,8 +6,12 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from keyfold.operators import scan  # noqa: E402
 from keyfold.session import configure  # noqa: E402
 
+# Tests are small: a key is hot from one chunk on.
+scan.HOT_CHUNKS = 1
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from keyfold.operators import scan
 from keyfold.operators.anchored import anchored_slots
 from keyfold.operators.scan import Running, asof_join, by_position, running, sliding_sums
 
@@ -20,7 +21,14 @@ def log(spark):
     return rows, spark.createDataFrame(rows, "key string, seq long, v long")
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 7, 64, 10_000])
+@pytest.fixture(params=["listed", "all", "plain"])
+def chunk_rows(request, monkeypatch):
+    """Few hot keys, more of them than are listed, and none."""
+    if request.param == "all":
+        monkeypatch.setattr(scan, "MAX_LISTED", 0)
+    return 10_000 if request.param == "plain" else 30
+
+
 @pytest.mark.parametrize("following", [False, True])
 def test_running(log, chunk_rows, following):
     rows, df = log
@@ -29,7 +37,7 @@ def test_running(log, chunk_rows, following):
         {"total": Running("sum", F.col("v")), "last": Running("last", F.col("v")),
          "top": Running("max", F.col("v")), "low": Running("min", F.col("v"), before=True),
          "prev": Running("last", F.col("v"), before=True)},
-        following=following,
+        following=following, chunk_rows=chunk_rows,
     ).collect()
     want = {}
     for key in {r[0] for r in rows}:
@@ -45,14 +53,14 @@ def test_running(log, chunk_rows, following):
     assert {(r.key, r.seq): (r.total, r.last, r.top, r.low, r.prev) for r in got} == want
 
 
-def test_sliding_sums(spark):
+def test_sliding_sums(spark, chunk_rows):
     rng = random.Random(3)
     rows = [("hot" if i % 2 else f"k{i % 5}", rng.randrange(0, 400_000_000), rng.randrange(100))
             for i in range(500)]
     rows += [rows[0], rows[1]]
     df = spark.createDataFrame(rows, "key string, us long, v long")
     width = 50_000_000
-    got = sliding_sums(df, ["key"], "us", width, {"n": F.lit(1), "v": F.col("v")}).collect()
+    got = sliding_sums(df, ["key"], "us", width, {"n": F.lit(1), "v": F.col("v")}, chunk_rows).collect()
     want = {
         (k, t): (
             sum(1 for r in rows if r[0] == k and t - width <= r[1] <= t),
@@ -64,7 +72,7 @@ def test_sliding_sums(spark):
 
 
 @pytest.mark.parametrize("forward", [False, True])
-def test_asof_join(spark, forward):
+def test_asof_join(spark, forward, chunk_rows):
     rng = random.Random(5)
     spots = [rng.randrange(0, 300) * 1_000_000 for _ in range(300)]
     right = [(f"k{i % 3}", spots[i], i, i) for i in range(150)]
@@ -73,7 +81,7 @@ def test_asof_join(spark, forward):
     got = asof_join(
         spark.createDataFrame(left, "id long, key string, at long"),
         spark.createDataFrame(right, "key string, us long, v long, tie long"),
-        ["key"], "at", "us", ["v"], "tie", forward=forward,
+        ["key"], "at", "us", ["v"], "tie", forward, chunk_rows,
     ).collect()
     want = {}
     for i, key, at in left:
@@ -109,3 +117,17 @@ def test_anchored_windows(spark, batch, half_up):
             if slot not in want:
                 want[slot] = (start, first, end, opens)
     assert {(r.key, r.slot): (r.start_us, r.start_tie, r.end_us, r.opens) for r in got} == want
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([("hot", i) for i in range(40)] + [("cold", i) for i in range(32)], "key string, v long")
+    hot = scan.hot_keys(df, ["key"], 32)
+    assert [r.key for r in hot.listed.collect()] == ["hot"]
+    assert hot.mark(df, ["key"]).where("_hot").count() == 40
+    assert not scan.hot_keys(df, ["key"], 40).any
+
+
+def test_one_shuffle_without_hot_keys(spark):
+    df = spark.range(100).selectExpr("id % 5 AS key", "id AS seq")
+    plan = running(df, ["key"], ["seq"], by_position("seq"), {"n": Running("sum", F.lit(1))})
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

@@ -19,7 +19,7 @@ def test_value_reads_see_earlier_writes(spark):
     assert rows(values.value_latest(log), "key", "item") == [("b", "2")]
 
 
-@pytest.mark.parametrize("chunk", [1, 3, 1000])
+@pytest.mark.parametrize("chunk", [1, 4, 1000])
 def test_counter_restarts_when_idle(spark, chunk):
     rng = random.Random(1)
     log, off, t = [], 0, 0
@@ -83,7 +83,7 @@ def fold(log, capacity):
 
 
 @pytest.mark.parametrize("capacity,chunk,batch", [
-    (None, 1000, 10_000), (None, 5, 4), (3, 7, 10_000), (1, 1, 10_000), (4, 64, 3)])
+    (None, 1000, 10_000), (None, 1000, 4), (None, 5, 4), (3, 7, 10_000), (1, 1, 10_000), (4, 3, 3)])
 def test_deque_fold(spark, capacity, chunk, batch):
     rng = random.Random(capacity or 0)
     log, seq = [], 0

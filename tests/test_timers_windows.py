@@ -110,7 +110,7 @@ def notify(log, width, capacity, ttl=None):
 
 
 @pytest.mark.parametrize("width,capacity,ttl,excise,chunk", [
-    (30, 100, None, False, 10), (30, 2, None, True, 3), (20, 5, 8, False, 10), (30, 100, 30, False, 10),
+    (30, 100, None, False, 10), (30, 2, None, True, 3), (30, 100, None, True, 1), (20, 5, 8, False, 10), (30, 100, 30, False, 10),
     (1, 3, None, True, 1)])
 def test_window_notify(spark, width, capacity, ttl, excise, chunk):
     rng = random.Random(width + capacity)
