@@ -1,6 +1,7 @@
 """Small frames from literals; times are seconds after a fixed instant."""
 
 import datetime as dt
+import os
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -26,3 +27,16 @@ def ops(spark, rows, item="string"):
 
 def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def micro_batches(spark, folder, frames):
+    """One file per frame, in order of modification, read one per micro-batch."""
+    source = folder / "in"
+    source.mkdir()
+    for i, frame in enumerate(frames):
+        part = folder / f"part{i}"
+        frame.coalesce(1).write.parquet(str(part))
+        target = source / f"{i:03}.parquet"
+        next(p for p in part.iterdir() if p.suffix == ".parquet").rename(target)
+        os.utime(target, (1_700_000_000 + i, 1_700_000_000 + i))
+    return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(str(source))

@@ -1,7 +1,7 @@
 """Definitions, handles and handlers; no Spark but in the last tests."""
 
 import pytest
-from fixtures import at, records, rows
+from fixtures import at, micro_batches, records, rows
 
 from keyfold.functions.exceptions import (
     PermanentError, PermanentStateError, TransientError, TransientStateError, is_permanent, permanent, transient,
@@ -10,6 +10,7 @@ from keyfold.state import definitions as d
 from keyfold.streaming.handler import KeyRun, MemoryStore, Settings, check_handler, run_stream, run_table
 from keyfold.streaming.handles import open_handle
 from keyfold.streaming.message import Message
+from keyfold.streaming.run import run_available
 
 
 def message(off, text="{}", s=0, key="a"):
@@ -270,21 +271,8 @@ LOG_ROWS = [("a", 0, 0, '{"k":"x"}'), ("b", 1, 1, '{"k":"x"}'), ("a", 2, 2, '{"k
 
 
 def test_stream_in_many_batches_equals_table(spark, tmp_path):
-    import os
-
-    from keyfold.streaming.run import run_available
-
     table = records(spark, LOG_ROWS)
-    source = tmp_path / "in"
-    source.mkdir()
-    for i, row in enumerate(LOG_ROWS):
-        part = tmp_path / f"part{i}"
-        records(spark, [row]).coalesce(1).write.parquet(str(part))
-        name = next(p for p in part.iterdir() if p.suffix == ".parquet")
-        target = source / f"{i:03}.parquet"
-        name.rename(target)
-        os.utime(target, (1_700_000_000 + i, 1_700_000_000 + i))
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(str(source))
+    stream = micro_batches(spark, tmp_path, [records(spark, LOG_ROWS[i:i + 2]) for i in range(0, 8, 2)])
     handler = Totals()
     columns = ["key", "off", "kind", "body", "at"]
     got = run_available(run_stream(stream, handler, handler.collections), f"totals-{tmp_path.name}", 2)
