@@ -112,7 +112,7 @@ class KeyRun:
         self.handler, self.collections, self.settings = handler, collections, settings
         self.store, (self.topic, self.key) = store, key
         self._arm, self._disarm = arm, disarm
-        self._timers = None
+        self._timers, self._stored, self._alarms = None, frozenset(), {}
         self.rows: list[tuple] = []
         self._off, self._now = None, 0
 
@@ -120,19 +120,29 @@ class KeyRun:
     def timers(self) -> set[int]:
         if self._timers is None:
             self._timers = {t for t, _ in self.store.items("_timers")}
+            self._stored = frozenset(self._timers)
         return self._timers
 
     def add_timer(self, us: int) -> None:
         if us not in self.timers():
             self.timers().add(us)
-            self.store.put("_timers", us, (1,))
-            self._arm(us)
+            self.store.put("_timers", us, (1,), new=us not in self._stored)
+            self._alarms[us] = True
 
     def drop_timer(self, us: int) -> None:
         if us in self.timers():
             self.timers().discard(us)
             self.store.remove("_timers", us)
-            self._disarm(us)
+            self._alarms[us] = False
+
+    def save(self) -> None:
+        """Hand what is left of the changes to Spark, once per invocation."""
+        for us, on in self._alarms.items():
+            if on and us not in self._stored:
+                self._arm(us)
+            elif not on and us in self._stored:
+                self._disarm(us)
+        self.store.flush()
 
     def out(self, kind: str, body) -> None:
         self.rows.append((self.topic, self.key, self._off, self._now, kind, to_json(body)))
@@ -185,7 +195,7 @@ class KeyRun:
     def _set_parked(self, front: int, back: int, tries: int, due_us: int) -> None:
         self.store.put("_parked_ends", "", (front, back, tries, due_us))
         if front < back:
-            self._arm(due_us)
+            self._arm(due_us)  # never taken back: a retry that is not due does nothing
 
     def _park(self, message: Message, now_us: int) -> None:
         front, back, tries, due = self._parked()
@@ -244,7 +254,7 @@ class MemoryStore:
     def get(self, name, key):
         return self.tables.get(name, {}).get(key)
 
-    def put(self, name, key, cell):
+    def put(self, name, key, cell, new=False):
         self.tables.setdefault(name, {})[key] = cell
 
     def remove(self, name, key):
@@ -253,6 +263,9 @@ class MemoryStore:
     def items(self, name):
         return list(self.tables.get(name, {}).items())
 
+    def flush(self):
+        pass
+
 
 CELL = "item string, write_us bigint"
 
@@ -300,31 +313,52 @@ class SparkStore:
         return [(k[0], tuple(v)) for k, v in self._maps[name].iterator()]
 
 
+UNKNOWN = object()
+
+
 class CachedStore:
-    """Reads of one invocation kept, so a state variable is asked once per item."""
+    """One invocation's view of the state: each item is read and written once.
+
+    Spark keeps or drops the state of a micro-batch as a whole, so writes can wait
+    for the end of the invocation; what was added and removed within it is never
+    written.
+    """
 
     def __init__(self, store):
-        self._store, self._seen, self._listed = store, {}, set()
+        self._store, self._now, self._before, self._listed = store, {}, {}, set()
 
     def get(self, name, key):
-        if (name, key) not in self._seen:
-            self._seen[name, key] = None if name in self._listed else self._store.get(name, key)
-        return self._seen[name, key]
+        at = (name, key)
+        if at not in self._now:
+            cell = None if name in self._listed else self._store.get(name, key)
+            self._now[at] = self._before[at] = cell
+        return self._now[at]
 
-    def put(self, name, key, cell):
-        self._seen[name, key] = cell
-        self._store.put(name, key, cell)
+    def put(self, name, key, cell, new=False):
+        """``new`` tells that the state holds nothing there."""
+        self._before.setdefault((name, key), None if new else UNKNOWN)
+        self._now[name, key] = cell
 
     def remove(self, name, key):
-        self._seen[name, key] = None
-        self._store.remove(name, key)
+        self.put(name, key, None)
 
     def items(self, name):
         if name not in self._listed:
             for key, cell in self._store.items(name):
-                self._seen.setdefault((name, key), cell)
+                if self._before.setdefault((name, key), cell) is UNKNOWN:
+                    self._before[name, key] = cell
+                self._now.setdefault((name, key), cell)
             self._listed.add(name)
-        return [(k, c) for (n, k), c in self._seen.items() if n == name and c is not None]
+        return [(k, c) for (n, k), c in self._now.items() if n == name and c is not None]
+
+    def flush(self):
+        for (name, key), cell in self._now.items():
+            if cell == self._before[name, key]:
+                continue
+            if cell is None:
+                self._store.remove(name, key)
+            else:
+                self._store.put(name, key, cell)
 
 
 class HandlerProcessor(StatefulProcessor):
@@ -354,11 +388,13 @@ class HandlerProcessor(StatefulProcessor):
         for r in ordered:
             run.record(Message(r.topic, r.part, r.off, r.ts_us, r.key, r.payload))
             yield from (Row(**dict(zip(OUTPUT.names, row))) for row in run.take())
+        run.save()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # Timers that fired between records are gone from the state: nothing is left to do.
         run = self._key_run(key)
         run.fire_until(expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        run.save()
         yield from (Row(**dict(zip(OUTPUT.names, row))) for row in run.take())
 
     def close(self) -> None:

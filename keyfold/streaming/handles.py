@@ -245,7 +245,7 @@ class DequeHandle(Handle):
                     self.store.remove(name, position)
             for position, cell in self._staged.items():
                 if front <= position < back:
-                    self.store.put(name, position, cell)
+                    self.store.put(name, position, cell, new=not old_front <= position < old_back)
             if (front, back) != (old_front, old_back):
                 self.store.put(self._ends_name, "", (front, back))
         self.rollback()
