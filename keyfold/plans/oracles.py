@@ -440,6 +440,10 @@ ORACLES = {
     "request_outcomes_stream": sql("outcomes", """SELECT o.* FROM outcomes o JOIN orders ON o_orderkey = request_id
         WHERE o_orderdate + INTERVAL 300 SECOND < (SELECT max(ts) FROM (
           SELECT max(ts) AS ts FROM asked UNION ALL SELECT max(ts) FROM answers))"""),
+    "request_outcomes_join": sql("outcomes", """SELECT request_id, subsystem, resp_ts IS NULL AS timed_out
+        FROM outcomes JOIN orders ON o_orderkey = request_id
+        WHERE resp_ts IS NOT NULL OR o_orderdate + INTERVAL 300 SECOND <
+          least((SELECT max(ts) FROM asked), (SELECT max(ts) FROM answers))"""),
 }
 ORACLES["keyed_counter_handler"] = ORACLES["keyed_counter"]
 ORACLES["dedup_stream"] = ORACLES["dedup_ttl"]

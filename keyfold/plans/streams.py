@@ -108,3 +108,11 @@ def request_outcomes_stream(spark, sf_dir):
     answers = tables.responses(spark, sf_dir, _read(spark, sf_dir, "lineitem"))
     rows = _finish(requests.request_outcomes_stream(orders, answers), "requests")
     return rows.select("request_id", "subsystem", "ok", "value", "kind", "message", "resp_ts")
+
+
+@stream
+def request_outcomes_join(spark, sf_dir):
+    orders = tables.requests(spark, sf_dir, _read(spark, sf_dir, "orders"))
+    answers = tables.responses(spark, sf_dir, _read(spark, sf_dir, "lineitem"))
+    rows = _finish(requests.request_outcomes_join(orders, answers, 300), "joined")
+    return rows.select("request_id", "subsystem", F.equal_null("kind", F.lit("timeout")).alias("timed_out"))

@@ -16,7 +16,7 @@ from keyfold.sources.published import read_state
 from keyfold.streaming import handlers
 from keyfold.streaming.dedup import dedup_stream, dedup_within_watermark
 from keyfold.streaming.handler import run_stream
-from keyfold.streaming.requests import request_outcomes_stream
+from keyfold.streaming.requests import request_outcomes_join, request_outcomes_stream
 from keyfold.streaming.run import run_available
 
 
@@ -57,6 +57,12 @@ def test_requests(spark, tmp_path, eager):
     want = request_outcomes(asked, answers).where("request_id <> 9")
     columns = ["request_id", "subsystem", "ok", "value", "kind", "resp_ts"]
     assert rows(got, *columns) == rows(want, *columns)
+    joined = request_outcomes_join(
+        spark.readStream.schema(asked.schema).parquet(str(tmp_path / "asked/in")),
+        spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "answers/in")),
+        10, "60 seconds")
+    got = run_available(joined, f"joined-{tmp_path.name}", 2).where("request_id <> 9")
+    assert rows(got, "request_id", "subsystem", "ok", "kind") == rows(want, "request_id", "subsystem", "ok", "kind")
 
 
 def test_windows_with_excise(spark, tmp_path):
