@@ -69,7 +69,8 @@ def dedup_stream(
         .groupBy(*by, event_id)
         .transformWithState(
             _KeepFirst(ttl_seconds * SECOND, columns),
-            T.StructType([records.schema[c] for c in columns]), "Append", "EventTime")
+            T.StructType([records.schema[c] for c in columns]), "Append", "EventTime",
+            eventTimeColumnName="ts")
     )
     return kept.unionByName(timed.where(F.col(event_id).isNull()))
 

@@ -423,19 +423,20 @@ def run_stream(
     handler,
     collections: Iterable[Collection] = (),
     settings: Settings = Settings(),
-    watermark: str = "0 seconds",
+    watermark: str | None = "0 seconds",
 ) -> DataFrame:
     """A handler over a stream of records: rows ``topic, key, off, kind, body, at``.
 
     ``kind`` is ``emit``, ``response`` (what a handler returned, as JSON),
-    ``dead_letter`` or ``dropped``.
+    ``dead_letter`` or ``dropped``. A ``watermark`` of None keeps the one ``ts`` has.
     """
     check_handler(handler)
     _ship(handler)
     registered = register(collections)
     configure(records.sparkSession)
+    timed = records if watermark is None else records.withWatermark("ts", watermark)
     rows = (
-        _input(records.withWatermark("ts", watermark))
+        _input(timed)
         .groupBy(*KEY)
         .transformWithState(
             HandlerProcessor(handler, registered, settings), OUTPUT, "Append", "EventTime")
