@@ -79,6 +79,11 @@ def publish_catalog(lookups: DataFrame, catalog: DataFrame) -> DataFrame:
     return lookups.join(published_collections(catalog), ["subsystem", "collection"])
 
 
+def of_keys(snapshot: DataFrame, lookups: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
+    """The part of a snapshot whose keys are asked for, for scans by key."""
+    return snapshot.join(lookups.select(*by), list(by), "left_semi")
+
+
 published_map_get = maps.map_get
 published_map_get_many = maps.map_get_many
 published_map_has = maps.map_has

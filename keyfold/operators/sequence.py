@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 
 from keyfold.functions.times import micros
 from keyfold.operators.anchored import anchored_slots
-from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, running
+from keyfold.operators.scan import CHUNK_ROWS, Hot, Running, by_position, running
 from keyfold.schema import KEY
 
 SEVEN_DAYS_S = 7 * 24 * 3600
 
 
 def per_key_sequence(
-    records: DataFrame, by: Sequence[str] = KEY, chunk_rows: int = CHUNK_ROWS
+    records: DataFrame,
+    by: Sequence[str] = KEY,
+    chunk_rows: int = CHUNK_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
-    """Number each key's records in delivery order, from 1 (``n``)."""
+    """Number each key's records in delivery order, from 1 (``n``).
+
+    Where ``records`` are costly to compute, pass the hot keys of what they came
+    from: counting there finds at least the same keys.
+    """
     return running(
         records, by, ["part", "off"], [F.col("part"), by_position("off", chunk_rows)],
-        {"n": Running("sum", F.lit(1).cast("bigint"))}, chunk_rows=chunk_rows,
+        {"n": Running("sum", F.lit(1).cast("bigint"))}, chunk_rows=chunk_rows, hot=hot,
     )
 
 

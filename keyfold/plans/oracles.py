@@ -416,6 +416,10 @@ ORACLES = {
     "published_deque_read": sql("push_rows deque_lookups", """SELECT lookup_id, l.key, i, p.item, coalesce(n, 0) AS length, n IS NULL AS is_empty
         FROM deque_lookups l LEFT JOIN push_rows p ON p.key = l.key AND i = CASE WHEN i >= 0 THEN pos ELSE rpos END
         LEFT JOIN (SELECT key, count(*) AS n FROM push_rows GROUP BY key) c ON c.key = l.key"""),
+    "published_map_entries": sql("map_rows map_lookups", """SELECT key, map_key, item FROM map_rows
+        WHERE key IN (SELECT key FROM map_lookups) ORDER BY key, map_key DESC"""),
+    "published_deque_values": sql("push_rows deque_lookups", """SELECT key, pos, item FROM push_rows
+        WHERE key IN (SELECT key FROM deque_lookups) ORDER BY key, pos"""),
     "stale_read": sql("lookups value_ops", """SELECT lookup_id, f.key, f.ts AS read_ts, start AS filled_at, item
         FROM w f ASOF LEFT JOIN (SELECT * FROM value_ops WHERE op <> 'get') v
         ON v.key = f.key AND f.start >= v.ts""",

@@ -15,6 +15,7 @@ from keyfold.operators import (
     anchored, deques, excise, failures, maps, published, refs, requests, sequence, timers, txn,
     values, windows,
 )
+from keyfold.operators.scan import hot_keys
 from keyfold.plans import streams, tables
 from keyfold.sources import log
 from keyfold.sources.published import read_published
@@ -234,7 +235,8 @@ def filtered_sequence(spark, sf_dir):
         filters.from_elsewhere("source_system", GROUP)
         & filters.allowed_event("type", PREFIXES) & filters.is_message()
     ).select("topic", "part", "off", "ts", "key", "type")
-    return sequence.per_key_sequence(sequence.dedup_ttl(rows, SIX_HOURS_S * 12, "type")).select(
+    fresh = sequence.dedup_ttl(rows, SIX_HOURS_S * 12, "type")
+    return sequence.per_key_sequence(fresh, hot=hot_keys(rows, ["topic", "key"])).select(
         "key", "off", "type", "n")
 
 
@@ -642,6 +644,20 @@ def published_deque_read(spark, sf_dir):
         "lookup_id", "key", "i", "item", "length", "is_empty")
 
 
+@query
+def published_map_entries(spark, sf_dir):
+    asked = tables.map_lookups(spark, sf_dir)
+    return published.published_map_entries(
+        published.of_keys(_map(spark, sf_dir), asked), backward=True).select("key", "map_key", "item")
+
+
+@query
+def published_deque_values(spark, sf_dir):
+    asked = tables.deque_lookups(spark, sf_dir)
+    return published.published_deque_values(
+        published.of_keys(_deque(spark, sf_dir), asked)).select("key", "pos", "item")
+
+
 @query
 def stale_read(spark, sf_dir):
     return published.stale_read(
