@@ -30,7 +30,7 @@ from keyfold.operators.anchored import key_at, key_changes
 from keyfold.schema import KEY
 from keyfold.session import configure
 from keyfold.state.definitions import Collection, register
-from keyfold.streaming.handles import open_handle, to_json
+from keyfold.streaming.handles import expired, open_handle, to_json
 from keyfold.streaming.message import Message
 
 SECOND = 1_000_000
@@ -135,8 +135,40 @@ class KeyRun:
             self.store.remove("_timers", us)
             self._alarms[us] = False
 
+    def purge(self, now_us: int) -> None:
+        """Take expired items out of the state, where reads only skip them."""
+        planned = self.store.get("_purge", "")
+        if planned is None or planned[0] > now_us:
+            return
+        left = []
+        for c in self.collections.values():
+            if c.ttl_seconds is None:
+                continue
+            tables = [(c.name, self.store.items(c.name))] if c.kind != "value" else []
+            ends = c.name if c.kind == "value" else c.name + "_ends"
+            if c.kind != "map":
+                cell = self.store.get(ends, "")
+                tables.append((ends, [] if cell is None else [("", cell)]))
+            for name, cells in tables:
+                for key, cell in cells:
+                    if expired(c, cell[-1], now_us):
+                        self.store.remove(name, key)
+                    else:
+                        left.append(cell[-1] + c.ttl_seconds * SECOND)
+        self.store.remove("_purge", "")
+        if left:
+            self._plan_purge(min(left))
+
+    def _plan_purge(self, due_us: int) -> None:
+        self.store.put("_purge", "", (due_us,))
+        self._arm(due_us)
+
     def save(self) -> None:
         """Hand what is left of the changes to Spark, once per invocation."""
+        ttls = [c.ttl_seconds for c in self.collections.values()
+                if c.ttl_seconds is not None and self.store.wrote(c.name)]
+        if ttls and self.store.get("_purge", "") is None:
+            self._plan_purge(self._now + min(ttls) * SECOND)
         for us, on in self._alarms.items():
             if on and us not in self._stored:
                 self._arm(us)
@@ -283,7 +315,8 @@ class SparkStore:
             else:
                 self._maps[c.name] = handle.getMapState(c.name, "pos bigint", c.item_schema)
                 self._values[c.name + "_ends"] = handle.getValueState(
-                    c.name + "_ends", "front bigint, back bigint")
+                    c.name + "_ends", "front bigint, back bigint, write_us bigint")
+        self._values["_purge"] = handle.getValueState("_purge", "due_us bigint")
         self._maps["_timers"] = handle.getMapState("_timers", "fire_us bigint", "armed int")
         self._maps["_parked"] = handle.getMapState("_parked", "pos bigint", CELL)
         self._values["_parked_ends"] = handle.getValueState(
@@ -351,6 +384,9 @@ class CachedStore:
             self._listed.add(name)
         return [(k, c) for (n, k), c in self._now.items() if n == name and c is not None]
 
+    def wrote(self, name) -> bool:
+        return any(n == name and c is not None and c != self._before[n, k] for (n, k), c in self._now.items())
+
     def flush(self):
         for (name, key), cell in self._now.items():
             if cell == self._before[name, key]:
@@ -393,7 +429,9 @@ class HandlerProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # Timers that fired between records are gone from the state: nothing is left to do.
         run = self._key_run(key)
-        run.fire_until(expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        now_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        run.fire_until(now_us)
+        run.purge(now_us)
         run.save()
         yield from (Row(**dict(zip(OUTPUT.names, row))) for row in run.take())
 

@@ -61,14 +61,12 @@ class Handle:
         if cell is None:
             return None
         text, write_us = cell
-        ttl = self.definition.ttl_seconds
-        if ttl is not None and write_us + ttl * 1_000_000 <= self.now_us:
+        if expired(self.definition, write_us, self.now_us):
             return None
         return Message.from_json(text) if self.definition.payload == "message" else json.loads(text)
 
     def _live(self, cell) -> bool:
-        ttl = self.definition.ttl_seconds
-        return cell is not None and (ttl is None or cell[1] + ttl * 1_000_000 > self.now_us)
+        return cell is not None and not expired(self.definition, cell[1], self.now_us)
 
 
 class ValueHandle(Handle):
@@ -166,7 +164,9 @@ class DequeHandle(Handle):
         return self.definition.name + "_ends"
 
     def _stored_ends(self):
-        return self.store.get(self._ends_name, "") or (0, 0)
+        """Front and back; all items are gone once the last write is that old."""
+        front, back, write_us = self.store.get(self._ends_name, "") or (0, 0, self.now_us)
+        return (front, back) if self._live((None, write_us)) else (back, back)
 
     def _range(self):
         if self._ends is None:
@@ -247,10 +247,15 @@ class DequeHandle(Handle):
                 if front <= position < back:
                     self.store.put(name, position, cell, new=not old_front <= position < old_back)
             if (front, back) != (old_front, old_back):
-                self.store.put(self._ends_name, "", (front, back))
+                self.store.put(self._ends_name, "", (front, back, self.now_us))
         self.rollback()
 
 
+def expired(definition: Collection, write_us: int, now_us: int) -> bool:
+    ttl = definition.ttl_seconds
+    return ttl is not None and write_us + ttl * 1_000_000 <= now_us
+
+
 HANDLES = {"value": ValueHandle, "map": MapHandle, "deque": DequeHandle}
 
 

@@ -7,7 +7,7 @@ from keyfold.functions.exceptions import (
     PermanentError, PermanentStateError, TransientError, TransientStateError, is_permanent, permanent, transient,
 )
 from keyfold.state import definitions as d
-from keyfold.streaming.handler import KeyRun, MemoryStore, Settings, check_handler, run_stream, run_table
+from keyfold.streaming.handler import CachedStore, KeyRun, MemoryStore, Settings, check_handler, run_stream, run_table
 from keyfold.streaming.handles import open_handle
 from keyfold.streaming.message import Message
 from keyfold.streaming.run import run_available
@@ -129,6 +129,11 @@ def test_items_expire():
     q.commit()
     q = handle(d.deque("q", ttl_seconds=10), store, 10)
     assert q.at(0) is None and q.at(1) == "new" and q.length() == 2 and list(q) == ["new"]
+    q = handle(d.deque("q", ttl_seconds=10), store, 15)
+    assert q.is_empty() and q.pop() is None
+    q.push("again")
+    q.commit()
+    assert list(q) == ["again"] and q.length() == 1
 
 
 def test_message_collections_take_messages_only():
@@ -240,6 +245,34 @@ def test_timers_fire_before_later_records_and_survive_failures():
     assert handler.seen == [1, 3]
 
 
+def test_expired_items_leave_the_state():
+    value, items, queue = d.value("v", ttl_seconds=10), d.map("m", ttl_seconds=20), d.deque("q", ttl_seconds=10)
+    backing, armed = MemoryStore(), set()
+
+    class Writer(Scripted):
+        def on_message(self, ctx, m):
+            ctx.state(value).set(m.off)
+            ctx.state(items).set(str(m.off), m.off)
+            ctx.state(queue).push(m.off)
+
+    def invoke(*messages, expiry_s=None):
+        key = KeyRun(Writer(), d.register([value, items, queue]), Settings(), CachedStore(backing), ("t", "a"),
+                     armed.add, armed.discard)
+        for m in messages:
+            key.record(m)
+        if expiry_s is not None:
+            key.purge(expiry_s * 1_000_000)
+        key.save()
+
+    invoke(message(1), message(2, s=4))
+    assert armed == {14_000_000}
+    invoke(expiry_s=14)
+    assert not backing.tables["v"] and not backing.tables["q"] and not backing.tables["q_ends"]
+    assert len(backing.tables["m"]) == 2 and armed == {14_000_000, 20_000_000}
+    invoke(expiry_s=24)
+    assert not any(backing.tables.values())
+
+
 def test_payload_that_is_not_json_is_permanent():
     _, out = run([message(1, "{"), message(2, "NaN", 1)], mode="low_latency")
     assert [k for _, k, _ in out] == ["dead_letter", "dead_letter"]
