@@ -102,7 +102,8 @@ def encode_payload(df: DataFrame, column: str) -> Column:
 
 def is_null_item(item: Column | str) -> Column:
     """A missing item or a JSON ``null``: neither may be stored."""
-    return _col(item).isNull() | F.is_variant_null(F.try_parse_json(_col(item)))
+    null = F.is_variant_null(F.try_parse_json(_col(item)))
+    return _col(item).isNull() | F.coalesce(null, F.lit(False))
 
 
 WRITES = ("set", "push", "unshift")
@@ -115,7 +116,7 @@ def reject_null_items(ops: DataFrame, item: str = "item") -> tuple[DataFrame, Da
     """
     text = ops.schema[item].dataType == T.StringType()
     null = is_null_item(item) if text else F.col(item).isNull()
-    bad = F.col("op").isin(*WRITES) & F.coalesce(null, F.lit(True))
+    bad = F.coalesce(F.col("op").isin(*WRITES), F.lit(False)) & null
     rejected = ops.where(bad).withColumns({
         "error_category": F.lit("transient"),
         "error_message": F.lit("null cannot be stored; use clear or delete"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.functions.payload import with_event_metadata
+from keyfold.functions.payload import encode_payload, with_event_metadata
 from keyfold.schema import ATTEMPT, RECORD
 
 SOURCE_HEADER = "source-system"
@@ -85,8 +85,6 @@ def outgoing(records: DataFrame, source_system: str) -> DataFrame:
     ``payload`` may be JSON text or any struct, array or map. A null payload is
     refused here: tombstones go through ``outgoing_excise``.
     """
-    from keyfold.functions.payload import encode_payload
-
     text = records.schema["payload"].dataType == T.StringType()
     value = F.col("payload") if text else encode_payload(records, "payload")
     value = F.when(

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 

@@ -154,9 +154,9 @@ def test_commit_and_rollback(spark, chunk):
 
 def test_null_writes_are_rejected(spark):
     log = ops(spark, [("a", 1, "set", None, '{"v":1}'), ("a", 2, "set", None, None), ("a", 3, "push", None, "null"),
-                      ("a", 4, "clear", None, None), ("a", 5, "set", None, '[null]')])
+                      ("a", 4, "clear", None, None), ("a", 5, "set", None, '[null]'), ("a", 6, "set", None, "plain text")])
     accepted, rejected = reject_null_items(log)
-    assert rows(accepted, "seq") == [(1,), (4,), (5,)]
+    assert rows(accepted, "seq") == [(1,), (4,), (5,), (6,)]
     assert rows(rejected, "seq", "error_category") == [(2, "transient"), (3, "transient")]
 
 
