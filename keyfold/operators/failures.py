@@ -156,7 +156,7 @@ def stall_summary(partitions: DataFrame) -> DataFrame:
 def execution_share(
     attempts: DataFrame, failure_target: float = 0.3, by: Sequence[str] = KEY
 ) -> DataFrame:
-    """Handler time per key, split into fresh work and retries."""
+    """Handler time per key, split into fresh work and retries; in all for no key."""
     duration, retry = F.col("duration_ms"), F.col("class") == "failure"
     failure = F.coalesce(F.sum(F.when(retry, duration)), F.lit(0)).cast("bigint")
     total = F.sum(duration).cast("bigint")

@@ -399,6 +399,10 @@ ORACLES = {
         round(failure / total, 9) AS failure_share, failure / total > 0.3 AS over_target
         FROM (SELECT key, sum(duration_ms) AS total,
         coalesce(sum(duration_ms) FILTER (class = 'failure'), 0) AS failure FROM attempt_log GROUP BY key)"""),
+    "execution_share_total": sql("attempt_log", """SELECT CAST(total AS BIGINT) AS total_ms, CAST(failure AS BIGINT) AS failure_ms,
+        round(failure / total, 9) AS failure_share, failure / total > 0.3 AS over_target
+        FROM (SELECT sum(duration_ms) AS total,
+        coalesce(sum(duration_ms) FILTER (class = 'failure'), 0) AS failure FROM attempt_log)"""),
     "request_outcomes": sql("outcomes", "SELECT * FROM outcomes"),
     "request_excise_outcomes": sql("outcomes", "SELECT * FROM outcomes WHERE request_id % 7 = 0"),
     "outcome_maps": sql("outcomes", """SELECT request_id, count(*) AS n, bool_or(ok) FILTER (subsystem = 'billing') AS billing_ok,

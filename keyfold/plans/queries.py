@@ -574,6 +574,12 @@ def execution_share(spark, sf_dir):
         "over_target")
 
 
+@query
+def execution_share_total(spark, sf_dir):
+    return failures.execution_share(tables.attempt_log(spark, sf_dir), by=()).select(
+        "total_ms", "failure_ms", F.round("failure_share", 9).alias("failure_share"), "over_target")
+
+
 # requests
 
 def _outcomes(spark, sf_dir):
