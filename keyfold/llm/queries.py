@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import bpe, leaks, minhash, pii, quality, units
+from keyfold.llm import bpe, leaks, minhash, neighbours, pages, pii, quality, units
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,10 @@ def vocabulary() -> tuple[bytes, str]:
         return f.read(), public_tokenizers.PATTERN
 
 
+def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 #: A document is predicted to be good from this score on.
 GOOD = 0.3
 
@@ -56,17 +60,23 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode_decode(docs, *vocabulary())).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 QUERIES = {
+    "op1_pages": op1_pages,
     "op2_quality": op2_quality,
     "op4_minhash": op4_minhash,
     "op5_decontaminate": op5_decontaminate,
     "op7_pii": op7_pii,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_neighbours": op9_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
