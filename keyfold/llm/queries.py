@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import bpe, leaks, minhash, neighbours, pages, pii, quality, units
+from keyfold.llm import bpe, leaks, minhash, neighbours, pages, pii, quality, repeats, units
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -47,6 +47,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.dedup_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.all_spans(pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")))
     counts = [pii.count("base_spans", k).alias(f"n_{k}") for k in pii.KINDS]
@@ -74,6 +81,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op4_minhash": op4_minhash,
     "op5_decontaminate": op5_decontaminate,
+    "op6_repeats": op6_repeats,
     "op7_pii": op7_pii,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_neighbours": op9_neighbours,
