@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import bpe, leaks, minhash, neighbours, pages, pii, quality, repeats, units
+from keyfold.llm import bpe, leaks, minhash, neighbours, pages, pii, quality, repeats, suffix_tree, units
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -36,6 +36,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), quality.in_fold("doc_id", 1))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, width=2, percent=80)
@@ -79,6 +83,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pages": op1_pages,
     "op2_quality": op2_quality,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_minhash": op4_minhash,
     "op5_decontaminate": op5_decontaminate,
     "op6_repeats": op6_repeats,
