@@ -22,43 +22,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm import words
+from keyfold.llm.placed import placed
 from keyfold.session import materialize
 
 KEEP = 3.0
 STRENGTH, SHARE = 2.0, 0.25
 #: Bytes of text in a block; a longer text makes a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 10 << 20
 
 _END = np.uint64(0x6A09E667F3BCC909)
 _START = np.uint64(0xBB67AE8584CAA73B)
+#: Keys of pairs and triples keep 48 bits: a key meets another with a chance of their
+#: number in 2**48, and then counts a little too much. Words keep all 64.
+_COARSE = np.uint64(0xFFFFFFFFFFFF0000)
 _ONE, _TWO, _GAIN_ONE, _THREE, _GAIN_TWO = range(5)
+_BITS_LOST = {_ONE: 0, _TWO: 16, _GAIN_ONE: 20, _THREE: 16, _GAIN_TWO: 16}
 
 
-def packed(keys: np.ndarray) -> bytes:
-    """Sorted distinct numbers as differences of as many bytes as the largest needs."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, -(-int(steps.max()).bit_length() // 8))
-    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def packed(keys: np.ndarray, coarse: int = 0) -> bytes:
+    """Sorted distinct numbers: the first, then differences of as many bytes as the largest needs."""
+    keys = keys >> np.uint64(coarse)
+    steps = np.diff(keys)
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def unpacked(blob: bytes) -> np.ndarray:
+def unpacked(blob: bytes, coarse: int = 0) -> np.ndarray:
     width = blob[0]
-    body = np.frombuffer(blob, np.uint8, offset=1).reshape(-1, width)
-    steps = np.zeros((len(body), 8), dtype=np.uint8)
-    steps[:, :width] = body
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+    body = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(body) + 1, 8), dtype=np.uint8)
+    steps[0] = np.frombuffer(blob, np.uint8, count=8, offset=1)
+    steps[1:, :width] = body
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) << np.uint64(coarse)
 
 
 def numbers(values: np.ndarray) -> bytes:
-    """Counts in the fewest bytes that hold the largest, sums in single precision."""
+    """Counts in the fewest bytes that hold the largest, sums in half precision where they fit; compressed."""
     if values.dtype.kind == "f":
-        return b"f" + values.astype("<f4").tobytes()
-    kind = next(k for k, most in (("B", 1 << 8), ("H", 1 << 16), ("I", 1 << 32), ("Q", 1 << 64)) if not len(values) or int(values.max()) < most)
-    return kind.encode() + values.astype("<" + kind).tobytes()
+        kind = "f2" if np.abs(values).max(initial=0) < 6e4 else "f4"
+    else:
+        kind = next(k for k, most in (("u1", 1 << 8), ("u2", 1 << 16), ("u4", 1 << 32), ("u8", 1 << 64))
+                    if int(values.max(initial=0)) < most)
+    body = values.astype("<" + kind).tobytes()
+    return kind.encode() + len(body).to_bytes(4, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
 def read_numbers(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, "<" + blob[:1].decode(), offset=1)
+    body = pa.decompress(blob[6:], int.from_bytes(blob[2:6], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(body, "<" + blob[:2].decode())
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    values, at = np.unique(keys, return_inverse=True)
+    return values, at.astype(np.int32)
 
 
 def smoothed(count, total, suffix):
@@ -79,16 +95,17 @@ class Block:
             own[np.arange(len(w.hash)) + w.doc] = w.hash
             tokens.append(own)
             size.append(np.diff(first) + 1)
-        self.token, self.size = np.concatenate(tokens), np.concatenate(size)
+        token, self.size = np.concatenate(tokens), np.concatenate(size)
+        del tokens
         self.first = np.concatenate([[0], np.cumsum(self.size)])[:-1]
         self.train = np.repeat(~self.held_out, self.size)
-        self.opens = np.zeros(len(self.token), dtype=bool)
+        self.opens = np.zeros(len(token), dtype=bool)
         self.opens[self.first] = True
-        before = np.concatenate([[_START], self.token[:-1]])
+        self.one, self.at_one = _distinct(token)
+        before = np.concatenate([[_START], token[:-1]])
         before[self.opens] = _START
-        self.pair = words.pair(before, self.token)
-        self.one, self.at_one = np.unique(self.token, return_inverse=True)
-        self.two, self.at_two = np.unique(self.pair, return_inverse=True)
+        # keys of several words keep 48 bits, so that their differences pack better
+        self.two, self.at_two = _distinct(words.pair(before, token) & _COARSE)
 
     def counts(self, at: np.ndarray, n: int, of: np.ndarray | None = None) -> np.ndarray:
         train = self.train if of is None else self.train[of]
@@ -97,17 +114,19 @@ class Block:
     def learn_one(self, one: np.ndarray, two: np.ndarray, total: int, distinct: int) -> None:
         """Counts of words and pairs, and what follows from them."""
         self.count_one, self.count_two = one, two
-        self.c, self.c_pair = one[self.at_one].astype(float), two[self.at_two].astype(float)
-        end = one[np.searchsorted(self.one, _END)]
-        self.base = (self.c + 0.5) / (total + 0.5 * (distinct + 1))
+        c, self.c_pair = one.astype(np.float32)[self.at_one], two.astype(np.float32)[self.at_two]
+        self.known = c > 0
+        self.base = ((one + 0.5) / (total + 0.5 * (distinct + 1)))[self.at_one]
         # occurrences of the word before, and of the two before, as contexts
-        self.n_one = np.concatenate([[0.0], self.c[:-1]])
-        self.n_one[self.opens] = end
-        self.n_two = np.concatenate([[0.0], self.c_pair[:-1]])
+        self.n_one = np.concatenate([c[:1], c[:-1]])
+        self.n_one[self.opens] = one[np.searchsorted(self.one, _END)]
+        self.n_two = np.concatenate([c[:1], self.c_pair[:-1]])
         self.n_two[self.opens] = 0
         self.long = np.flatnonzero(self.n_two >= 2)
-        self.triple = words.pair(self.pair[self.long - 1], self.token[self.long])
-        self.three, self.at_three = np.unique(self.triple, return_inverse=True)
+        # a pair never learned has no count after any word either
+        self.open = self.c_pair[self.long] >= 1
+        of = self.long[self.open]
+        self.three, self.at_three = _distinct(words.pair(self.two[self.at_two[of - 1]], self.one[self.at_one[of]]) & _COARSE)
 
     def gains_one(self) -> tuple[np.ndarray, np.ndarray]:
         """Contexts of one word seen twice or more, and what this block's occurrences gain by them."""
@@ -130,7 +149,8 @@ class Block:
         self.p_one = np.where(keep, smoothed(self.c_pair, self.n_one, self.base), self.base)
 
     def gains_two(self, three: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        self.c_triple = three[self.at_three].astype(float)
+        self.c_triple = self.c_pair[self.long]
+        self.c_triple[self.open] = three.astype(np.float32)[self.at_three]
         own = self.train[self.long]
         of = self.long[own]
         suffix = np.where(self.keep_one[of], self.left_out(of), self.base[of])
@@ -158,7 +178,7 @@ def _pack(docs: DataFrame) -> DataFrame:
         def block():
             table = pa.Table.from_batches(held)
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
                 out.write_table(table)
             payload = sink.getvalue().to_pybytes()
             import xxhash
@@ -183,7 +203,7 @@ def _totals(asked: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         kind, part = table["kind"][0].as_py(), table["part"][0].as_py()
-        keys = [unpacked(k.as_buffer().to_pybytes()) for k in table["keys"]]
+        keys = [unpacked(k.as_buffer().to_pybytes(), _BITS_LOST[kind]) for k in table["keys"]]
         values = np.concatenate([read_numbers(v.as_buffer().to_pybytes()) for v in table["values"]])
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, weights=values.astype(np.float64), minlength=len(distinct))
@@ -211,7 +231,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     spark = docs.sparkSession
     bits = min(16, max(3, int(np.ceil(np.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))))
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blocks = materialize(_pack(rows).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block"))
+    blocks = placed(_pack(rows), "block")
 
     def asking(block: int, kind: int, keys: np.ndarray, values: np.ndarray):
         part = (keys >> np.uint64(64 - bits)).astype(np.int64)
@@ -219,7 +239,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
         filled = np.flatnonzero(np.diff(cut))
         return pa.RecordBatch.from_arrays(
             [pa.array([kind] * len(filled), pa.int32()), pa.array(filled, pa.int32()), pa.array([block] * len(filled), pa.int64()),
-             pa.array([packed(keys[cut[p]:cut[p + 1]]) for p in filled], pa.binary()),
+             pa.array([packed(keys[cut[p]:cut[p + 1]], _BITS_LOST[kind]) for p in filled], pa.binary()),
              pa.array([numbers(values[cut[p]:cut[p + 1]]) for p in filled], pa.binary())],
             names=["kind", "part", "block", "keys", "values"])
 
@@ -258,7 +278,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
         for number, b, _, _ in read(batches):
             keys, sums = b.gains_one()
             yield asking(number, _GAIN_ONE, keys, sums)
-            yield asking(number, _THREE, b.three, b.counts(b.at_three, len(b.three), b.long))
+            yield asking(number, _THREE, b.three, b.counts(b.at_three, len(b.three), b.long[b.open]))
 
     first = _totals(answered(counted).mapInArrow(ask_gain_one, question))
 
@@ -273,7 +293,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
         for _, b, got, none in read(batches):
             b.learn_gain_one(got.get(_GAIN_ONE, none))
             b.gains_two(got.get(_THREE, none))
-            scores, known = b.scores(got.get(_GAIN_TWO, none)), np.add.reduceat((b.c > 0).astype(np.int64), b.first)
+            scores, known = b.scores(got.get(_GAIN_TWO, none)), np.add.reduceat(b.known.astype(np.int64), b.first)
             base = np.add.reduceat(np.log10(b.base), b.first)
             yield pa.RecordBatch.from_arrays(
                 [b.ids.combine_chunks(), pa.array(b.held_out), pa.array(b.size.astype(np.int64)), pa.array(known),
