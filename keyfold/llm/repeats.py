@@ -19,7 +19,6 @@ repeat is missed and none is invented (hashes have 64 bits).
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm import words
-from keyfold.session import materialize, shared_dir
+from keyfold.llm.placed import stored
+from keyfold.session import materialize
 
 WIDTH, GRAM = 100, 40
 _SPAN = WIDTH - GRAM + 1        # grams in a window
@@ -68,7 +68,8 @@ def stretches(data: np.ndarray, bounds: np.ndarray):
 
 
 def _slot(hashed: np.ndarray) -> np.ndarray:
-    return (hashed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    # Anchors are least hashes: mixed again, they spread over all slots.
+    return (words.mix(hashed) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _slots_met(rows: DataFrame, slots_of, times: int) -> np.ndarray:
@@ -174,13 +175,14 @@ def maximal_repeats(texts: list[bytes], width: int = WIDTH):
 def _bucket(table: pa.Table) -> pa.Table:
     """Removed spans (doc, start, size) of the stretches of one bucket of anchors."""
     doc, lo = table["doc"].to_numpy(), table["lo"].to_numpy()
-    out_doc, out_start, out_size = [], [], []
+    spans: dict[int, list[tuple[int, int]]] = {}
     # What stands before a stretch has an anchor of its own, so each stretch counts as beginning there.
     for length, found in maximal_repeats(table["body"].to_pylist()):
         at = sorted({(int(doc[i]), int(lo[i]) + p) for i, p in found})
         for d, p in at[1:]:
-            out_doc.append(d), out_start.append(p), out_size.append(length)
-    return pa.table({"doc": pa.array(out_doc, pa.int64()), "start": pa.array(out_start, pa.int64()), "size": pa.array(out_size, pa.int64())})
+            spans.setdefault(d, []).append((p, length))
+    runs = [(d, a, b - a) for d, own in spans.items() for a, b in merged(own)]
+    return pa.table({c: pa.array([r[i] for r in runs], pa.int64()) for i, c in enumerate(("doc", "start", "size"))})
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -194,13 +196,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(r) for r in out]
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """A table in the shared folder: smaller than a checkpoint, and as safe."""
-    path = f"{shared_dir(df.sparkSession)}/repeats-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _numbered(docs: DataFrame) -> DataFrame:
     """Documents with ``_doc``, a number that orders them by id; rows equal in id and text share it."""
     ids = docs.groupBy("id").agg(F.count("*").alias("n"))
@@ -233,15 +228,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (anchor.view(np.int64), whole.view(np.int64), ids[at + doc], own)],
                                                  names=["anchor", "whole", "doc", "at"])
 
-    found = _stored(rows.mapInArrow(scan, "anchor bigint, whole bigint, doc bigint, at bigint"))
-    groups = materialize(found.groupBy("anchor", "whole").agg(F.min(F.struct("doc", "at")).alias("first"), F.max(F.struct("doc", "at")).alias("last")))
+    found = stored(rows.mapInArrow(scan, "anchor bigint, whole bigint, doc bigint, at bigint"))
+    groups = stored(found.groupBy("anchor", "whole").agg(F.min(F.struct("doc", "at")).alias("first"), F.max(F.struct("doc", "at")).alias("last"))
+                    .select("anchor", "whole", "first.doc", "first.at", (F.col("first") != F.col("last")).alias("again")))
     start, size = F.shiftright("at", 8), F.col("at").bitwiseAND(255) + WIDTH - 1
-    copies = (found.join(groups.where("first != last").select("anchor", "whole", "first"), ["anchor", "whole"])
+    copies = (found.join(groups.where("again").select("anchor", "whole", F.struct("doc", "at").alias("first")), ["anchor", "whole"])
               .where(F.struct("doc", "at") != F.col("first")).select("doc", start.alias("start"), size.alias("size")))
 
     # Anchors with several contents: the earliest stretch of each, with its bytes.
     several = groups.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
-    places = materialize(groups.join(several, "anchor").select("anchor", "contents", "first.doc", "first.at"))
+    places = stored(groups.join(several, "anchor").select("anchor", "contents", "doc", "at"))
 
     def places_of(batch):
         yield _slot(_place(batch.column(0).to_numpy(), batch.column(1).to_numpy() >> 8))
@@ -261,8 +257,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                      pa.array([raw[a:b + WIDTH] for a, b in zip(lo[keep].tolist(), hi[keep].tolist())], pa.binary())],
                     names=["doc", "at", "body"])
 
-    bodies = rows.mapInArrow(fetch, "doc bigint, at bigint, body binary").dropDuplicates(["doc", "at"])
-    full = materialize(places.join(bodies, ["doc", "at"]).select("anchor", "contents", "doc", F.shiftright("at", 8).alias("lo"), "body"))
+    bodies = rows.mapInArrow(fetch, "doc bigint, at bigint, body binary")
+    full = stored(places.join(bodies, ["doc", "at"]).select("anchor", "contents", "doc", F.shiftright("at", 8).alias("lo"), "body"))
     normal = full.where(F.col("contents") <= BUCKET_ROWS)
     buckets = -(-normal.count() // BUCKET_ROWS) or 1
     sorted_out = (normal.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket")
