@@ -162,15 +162,27 @@ def fit(sample: list[Tokens], steps: int = 200) -> Field:
     if not sample:
         weights[-1, OUTSIDE] = 10
         return Field(weights, np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
-    x = np.concatenate([t.shape[:SAMPLE_TOKENS] for t in sample])
-    y = np.concatenate([np.array(t.label[:SAMPLE_TOKENS]) for t in sample])
+    xs, ys = [], []
     for t in sample:
-        label = np.array(t.label)
-        near = np.flatnonzero(t.chain)
-        np.add.at(chain, (label[near - 1], label[near]), 1)
+        label, near = np.array(t.label), np.flatnonzero(t.chain)
+        # What a base entity's number stands beside without a pattern is unlabelled, not outside.
+        known = np.ones(len(label), dtype=bool)
         for a, b in t.skip:
-            skip[label[a], label[b]] += 1
-            skip[label[b], label[a]] += 1
+            if (label[a] == OUTSIDE) != (label[b] == OUTSIDE):
+                known[a if label[a] == OUTSIDE else b] = False
+            else:
+                skip[label[a], label[b]] += 1
+                skip[label[b], label[a]] += 1
+        for i, j in [*zip(near - 1, near), *zip(near[::-1], near[::-1] - 1)]:
+            if not known[i] and label[j] == OUTSIDE:
+                known[j] = False
+        near = near[known[near] & known[near - 1]]
+        np.add.at(chain, (label[near - 1], label[near]), 1)
+        xs.append(t.shape[known]), ys.append(label[known])
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    if not len(y):
+        weights[-1, OUTSIDE] = 10
+        return Field(weights, np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
     target = np.eye(LABELS)[y]
     past = np.full_like(weights, 1e-8)
     for _ in range(steps):
