@@ -102,8 +102,8 @@ def encode_payload(df: DataFrame, column: str) -> Column:
 
 def is_null_item(item: Column | str) -> Column:
     """A missing item or a JSON ``null``: neither may be stored."""
-    null = F.is_variant_null(F.try_parse_json(_col(item)))
-    return _col(item).isNull() | F.coalesce(null, F.lit(False))
+    # Blanks around it are JSON's own; anything else behind it makes no document.
+    return _col(item).isNull() | F.coalesce(_col(item).rlike("^[ \\t\\r\\n]*null[ \\t\\r\\n]*$"), F.lit(False))
 
 
 WRITES = ("set", "push", "unshift")

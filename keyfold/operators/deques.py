@@ -268,14 +268,14 @@ def deque_removed(
 def deque_latest(ops: DataFrame, capacity: int, by: Sequence[str] = OP_KEY) -> DataFrame:
     """The queue of a log that only pushes and clears: its newest ``capacity`` items.
 
-    The rank filter runs before the shuffle as well, so a task sends at most
-    ``capacity`` rows per key; above the size where Spark does that, the general
-    fold is used. Same columns as ``deque_fold``.
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` the rank filter runs before
+    the shuffle as well, so a task sends at most ``capacity`` rows per key. Any other
+    operation in the log is an error: such logs need ``deque_fold``. Same columns as
+    ``deque_fold``.
     """
     by = list(by)
-    limit = int(ops.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if capacity > limit:
-        return deque_fold(ops, capacity, by)
+    other = F.raise_error(F.concat(F.lit("deque_latest takes push and clear, not "), F.coalesce("op", F.lit("null"))))
+    ops = ops.withColumn("op", F.when(F.col("op").isin("push", "clear"), F.col("op")).otherwise(other))
     cleared = ops.where("op = 'clear'").groupBy(*by).agg(F.max("seq").alias("_cleared"))
     newest = Window.partitionBy(*by).orderBy(F.col("seq").desc())
     # Pushes before the last clear rank behind those after it, so cutting to the

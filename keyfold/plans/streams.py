@@ -20,7 +20,6 @@ from keyfold.streaming.run import run_available
 
 HOUR_US = tables.HOUR_US
 SIX_HOURS_S = 6 * 3600
-PARTITIONS = 8
 STREAMS = {}
 
 
@@ -43,7 +42,7 @@ def _records(source: DataFrame, payload) -> DataFrame:
 
 
 def _finish(df: DataFrame, name: str) -> DataFrame:
-    return run_available(df, f"{name}-{uuid.uuid4().hex}", PARTITIONS)
+    return run_available(df, f"{name}-{uuid.uuid4().hex}")
 
 
 def _sent(rows: DataFrame) -> DataFrame:

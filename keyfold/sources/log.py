@@ -151,12 +151,14 @@ def dead_letters(routed: DataFrame, failure_topic: str) -> DataFrame:
 def write_dead_letters(failure_topic: str, path: str, format: str = "parquet"):
     """A ``foreachBatch`` function that appends a batch's dead letters.
 
-    The folder of a batch is named after its id and overwritten when the batch
-    is repeated, so nothing is written twice.
+    The folder of a batch is named after its query and its id and overwritten when the
+    batch is repeated, so nothing is written twice. A query keeps its id with its
+    checkpoint; one with a new checkpoint writes beside the letters of earlier ones.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
         dead_letters(batch, failure_topic).write.format(format).mode("overwrite").save(
-            f"{path}/batch={batch_id}"
+            f"{path}/query={query}/batch={batch_id}"
         )
 
     return write

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from keyfold.functions.errors import DEFER_BASE_MS, DEFER_CAP_MS
-from keyfold.functions.exceptions import is_permanent
+from keyfold.functions.exceptions import PermanentStateError, TransientStateError, is_permanent
 from keyfold.functions.times import from_micros, micros
 from keyfold.operators.anchored import key_at, key_changes
 from keyfold.schema import KEY
@@ -186,7 +186,10 @@ class KeyRun:
         context = Context(self, now_us)
         try:
             result = getattr(self.handler, method)(context, event)
-            body = to_json(result)
+            try:
+                body = to_json(result)
+            except TransientStateError as error:  # it would fail alike again
+                raise PermanentStateError(f"result has no JSON form: {error}") from error
         except Exception as error:  # the handler's own failure, classified below
             context.finish(False)
             return error

@@ -240,8 +240,9 @@ class DequeHandle(Handle):
         if self._ends is not None:
             name, (front, back) = self.definition.name, self._ends
             old_front, old_back = self._stored_ends()
-            for position in range(old_front, old_back):
-                if not front <= position < back:
+            # only what left at either end
+            for gone in (range(old_front, min(front, old_back)), range(max(back, old_front, front), old_back)):
+                for position in gone:
                     self.store.remove(name, position)
             for position, cell in self._staged.items():
                 if front <= position < back:

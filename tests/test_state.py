@@ -182,3 +182,19 @@ def test_message_collections_resolve_last(spark):
         "seq long, op string, item string, ref struct<topic:string>")
     assert rows(refs.reject_item_kind(mixed, "json")[1], "seq") == [(2,), (3,)]
     assert rows(refs.reject_item_kind(mixed, "message")[1], "seq") == [(1,), (3,)]
+
+
+def test_latest_takes_no_other_operation_at_any_capacity(spark):
+    log = ops(spark, [("k", 1, "push", None, "1"), ("k", 2, "push", None, "2"), ("k", 3, "pop", None, None)])
+    for capacity in (5, 2000):
+        with pytest.raises(Exception, match="deque_latest takes push and clear"):
+            deques.deque_latest(log, capacity).collect()
+    plain = log.where("op = 'push'")
+    assert rows(deques.deque_latest(plain, 5), "item") == rows(deques.deque_latest(plain, 2000), "item")
+
+
+def test_null_followed_by_something_is_no_null(spark):
+    from keyfold.functions.payload import is_null_item
+
+    frame = spark.createDataFrame([(" null ",), ("null x",), ("nullx",), (None,), ("1",)], "item string")
+    assert [r[0] for r in frame.select(is_null_item("item")).collect()] == [True, False, False, True, False]
