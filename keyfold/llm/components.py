@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from keyfold.session import materialize
 
 
+#: Links that one task holds in its union-find.
+TASK_LINKS = 500_000
+
+
 def _contract(batches):
     """Union-find over the links of one task: each node with the smallest node it reaches here."""
     parent: dict = {}
@@ -52,15 +56,19 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component): each linked node with the smallest node it reaches.
 
     ``links`` has two long columns; direction, repeats and loops do not matter, rows
-    with a null are ignored. Nodes without links are not in the result. Each round
-    alternates large and small stars, which settles in a logarithmic number of rounds;
-    every round is checkpointed, and only counts come to the driver.
+    with a null are ignored. Nodes without links are not in the result. Tasks first
+    contract at most ``TASK_LINKS`` links each. Where that takes several tasks, rounds
+    of large and small stars join what they found, which settles in a logarithmic number
+    of rounds; every round is checkpointed, and only counts come to the driver.
     """
     a, b = links.columns
     clean = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    edges = clean.mapInArrow(_contract, "a bigint, b bigint").where(F.col("a") != F.col("b")).distinct()
+    tasks = -(-clean.count() // TASK_LINKS) or 1
+    edges = clean.coalesce(tasks).mapInArrow(_contract, "a bigint, b bigint").where(F.col("a") != F.col("b"))
     before = None
-    while True:
+    if tasks == 1:
+        edges = materialize(edges)
+    while tasks > 1:
         edges = materialize(_star(_star(edges, small=False), small=True))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:

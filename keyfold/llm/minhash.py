@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from keyfold.llm import words
 from keyfold.llm.components import components
+from keyfold.llm.placed import placed
 from keyfold.session import materialize
 
 #: A pair with a similarity of 0.8 shares no band with a chance below 1e-7.
@@ -107,25 +108,73 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets share at least ``percent`` hundredths of their union."""
+    """Pairs (a, b) with ``share``, the hundredths of their full sets' union that both have, rounded down."""
 
     def run(batches):
         for batch in batches:
-            keep = []
+            share = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
-                    keep.append(False)
-                    continue
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(both) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                share.append(100 * shared // (len(both) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share, pa.int64())], names=["a", "b", "share"])
 
     with_b = pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b")
     both = with_b.join(sets.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a")
-    return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "items_a", "items_b").mapInArrow(run, "a bigint, b bigint, share bigint")
+
+
+def _compared(table: pa.Table, percent: int) -> pa.Table:
+    """Links between the sets of one block that belong to different components so far.
+
+    Every pair of which one is outside the largest component is compared, one set with
+    all others at once, unless links found before already connect it.
+    """
+    ids, component = table["rep"].to_numpy(), table["component"].to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["items"].combine_chunks()]
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    distinct, number = np.unique(np.concatenate(sets), return_inverse=True)
+    first = np.concatenate([[0], np.cumsum(size)])
+    names, label = np.unique(component, return_inverse=True)
+    label = label.copy()
+    main = np.bincount(label).argmax()
+    mark, a, b = np.zeros(len(distinct), dtype=bool), [], []
+    for i in np.argsort(ids, kind="stable"):
+        if label[i] == main:
+            continue
+        own = number[first[i]:first[i + 1]]
+        mark[own] = True
+        shared = np.bincount(owner[mark[number]], minlength=len(sets))
+        mark[own] = False
+        for j in np.flatnonzero(100 * shared >= percent * (size + size[i] - shared)):
+            if label[j] != label[i]:
+                a.append(ids[i]), b.append(ids[j])
+                old, new = (label[i], label[j]) if label[i] != main else (label[j], label[i])
+                label[label == old] = new
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+#: Sets that one task compares with each other, twice at most of these.
+BLOCK_SETS = 512
+
+
+def _within(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside groups (rep, grouped, component), compared block by block of their members."""
+    sizes = (groups.groupBy("grouped").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y"))
+             .where(F.col("x") != F.col("y")).select("grouped", F.ceil(F.col("size") / BLOCK_SETS).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = (groups.join(sizes, "grouped").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("rep", "component", "grouped", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    full = dealt.join(sets.withColumnRenamed("id", "rep"), "rep")
+    return full.groupBy("grouped", "i", "j").applyInArrow(lambda t: _compared(t, percent), "a bigint, b bigint")
+
+
+#: Share of two sets from which they are put in one group to be compared as a whole.
+GROUP_PERCENT = 40
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -138,10 +187,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     itself, takes the component of equal sets if there are any, and is kept if not.
 
     Equal sets are put together before banding, so copies never meet in pairs. In each
-    band bucket the first member is compared with all others; where a bucket still
-    holds several components, further members are, one, two, four ... at a time, until
-    every pair of its members is connected or was compared. Each round makes a number
-    of pairs proportional to the members left.
+    band bucket the first member is compared with all others. Sets connected by shares
+    of ``GROUP_PERCENT`` form groups, and a group that holds several components is
+    compared as a whole, a block of it against a block. What a bucket still holds of
+    different groups and components is compared one, two, four ... members with
+    all others at a time, until every pair of its members is connected or was compared.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("body"))
     scanned = materialize(_scan(rows, width))
@@ -155,33 +205,46 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               .groupBy("lead", "last", "size", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "lead", "size"))
     members = materialize(banded.join(shared, "bucket"))
     wanted = members.select(F.col("rep").alias("id")).distinct()
-    sets = materialize(_sets(rows.join(wanted, "id", "left_semi"), width).distinct())
+    sets = _sets(rows.join(wanted, "id", "left_semi"), width).distinct()
+    # kept in the partitioning by id that all joins below ask for
+    sets = placed(sets, "id")
 
-    pairs = materialize(members.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
-    tested, links = pairs, materialize(_verified(pairs, sets, percent))
+    pairs = members.where("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    tested = materialize(_verified(pairs, sets, percent))
+    links = tested.where(F.col("share") >= percent).select("a", "b")
     found = materialize(components(links))
+    groups = materialize(components(tested.where(F.col("share") >= min(percent, GROUP_PERCENT)).select("a", "b"))
+                         .select(F.col("node").alias("rep"), F.col("component").alias("grouped")))
 
     def labelled(frame):
         return frame.join(found, frame["rep"] == found["node"], "left").select(
             *(frame[c] for c in frame.columns), F.coalesce("component", "rep").alias("component"))
 
+    more = materialize(_within(labelled(groups), sets, percent))
+    links = links.union(more)
+    found = materialize(components(links))
+
     def split(frame):
-        """Members of buckets that hold several components."""
-        mixed = (labelled(frame).groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                 .where(F.col("x") != F.col("y")).select("bucket"))
+        """Members of buckets that hold several components and several groups."""
+        mixed = (labelled(frame).groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                                       F.min("grouped").alias("p"), F.max("grouped").alias("q"))
+                 .where((F.col("x") != F.col("y")) & (F.col("p") != F.col("q"))).select("bucket"))
         return frame.join(mixed, "bucket", "left_semi")
 
-    left = split(members.where("size > 2").select("bucket", "rep"))
+    left = members.where("size > 2").select("bucket", "rep")
+    left = left.join(groups, "rep", "left").select("bucket", "rep", F.coalesce("grouped", "rep").alias("grouped"))
+    left = split(left)
     left = materialize(left.withColumn("rank", F.row_number().over(W.partitionBy("bucket").orderBy("rep"))))
-    done, step = 1, 1
+    done, step, tested = 1, 1, tested.select("a", "b")
     while not left.where(F.col("rank") > done + 1).isEmpty():
         now = labelled(left)
         leads = now.where((F.col("rank") > done) & (F.col("rank") <= done + step)).select(
-            "bucket", F.col("rep").alias("a"), F.col("rank").alias("at"), F.col("component").alias("of"))
-        pairs = (now.join(leads, "bucket").where((F.col("rank") > F.col("at")) & (F.col("component") != F.col("of")))
+            "bucket", F.col("rep").alias("a"), F.col("rank").alias("at"), F.col("component").alias("of"), F.col("grouped").alias("in"))
+        pairs = (now.join(leads, "bucket").where((F.col("rank") > F.col("at")) & (F.col("component") != F.col("of"))
+                                                 & (F.col("grouped") != F.col("in")))
                  .select("a", F.col("rep").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
         pairs = materialize(pairs)
-        more = materialize(_verified(pairs, sets, percent))
+        more = materialize(_verified(pairs, sets, percent).where(F.col("share") >= percent).select("a", "b"))
         tested, done, step = tested.union(pairs), done + step, step * 2
         if not more.isEmpty():
             links = links.union(more)

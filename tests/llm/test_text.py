@@ -199,7 +199,9 @@ def test_signature_is_the_least_rank_of_each_component():
     assert abs((a == b).mean() - 3000 / 5000) < 0.1
 
 
-def test_components(spark):
+@pytest.mark.parametrize("links_per_task", [10, 500_000])
+def test_components(spark, links_per_task, monkeypatch):
+    monkeypatch.setattr(components, "TASK_LINKS", links_per_task)
     rng = random.Random(4)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 360)] + [(None, 1)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
