@@ -76,19 +76,22 @@ class Consumer:
         fresh = dedup_ttl(self.accepted(log), self.dedup_ttl_s)
         return fresh if seen is None else drop_seen(fresh, seen, self.dedup_version)
 
-    def stream(self, log: DataFrame, watermark: str = "0 seconds") -> DataFrame:
-        """The same for a stream; changing the version means a new checkpoint."""
+    def stream(self, log: DataFrame, watermark: str | None = None) -> DataFrame:
+        """The same for a stream; changing the version means a new checkpoint.
+
+        See ``dedup_stream`` for what a watermark changes.
+        """
         return dedup_stream(self.accepted(log), self.dedup_ttl_s, watermark=watermark)
 
     def handle_table(self, log: DataFrame, handler, collections: Iterable[Collection] = ()) -> DataFrame:
         return self._route(run_table(self.table(log), handler, collections, self._settings))
 
     def handle_stream(
-        self, log: DataFrame, handler, collections: Iterable[Collection] = (), watermark: str = "0 seconds"
+        self, log: DataFrame, handler, collections: Iterable[Collection] = (), watermark: str | None = None
     ) -> DataFrame:
-        # the event time is set where duplicates are dropped and carried on
+        # the event time, if any, is set where duplicates are dropped and carried on
         fresh = self.stream(log, watermark)
-        return self._route(run_stream(fresh, handler, collections, self._settings, watermark=None))
+        return self._route(run_stream(fresh, handler, collections, self._settings, watermark, marked=True))
 
     def _route(self, rows: DataFrame) -> DataFrame:
         """Add ``to_topic``, the failure topic for dead letters."""

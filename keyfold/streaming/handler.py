@@ -2,8 +2,8 @@
 
 A handler has ``on_message``, ``on_excise`` and ``on_timer``. ``run_stream`` runs
 it with ``transformWithState`` and ``run_table`` over a sorted table; both give the
-same rows. Time is event time: a timer due at or before a record's time fires
-before that record.
+same rows. Records of a key come in offset order. Time is event time: a timer due
+at or before a record's time fires before that record.
 
 Rows of one key within a micro-batch are sorted in memory, so bound the batch
 with ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``. A table is never held:
@@ -12,6 +12,8 @@ it streams through in key order.
 
 from __future__ import annotations
 
+import heapq
+import json
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -111,7 +113,7 @@ class KeyRun:
         self.handler, self.collections, self.settings = handler, collections, settings
         self.store, (self.topic, self.key) = store, key
         self._arm, self._disarm = arm, disarm
-        self._timers, self._stored, self._alarms = None, frozenset(), {}
+        self._timers, self._stored, self._alarms, self._heap = None, frozenset(), {}, []
         self.rows: list[tuple] = []
         self._off, self._now = None, 0
 
@@ -120,11 +122,13 @@ class KeyRun:
         if self._timers is None:
             self._timers = {t for t, _ in self.store.items("_timers")}
             self._stored = frozenset(self._timers)
+            self._heap = sorted(self._timers)
         return self._timers
 
     def add_timer(self, us: int) -> None:
         if us not in self.timers():
             self.timers().add(us)
+            heapq.heappush(self._heap, us)
             self.store.put("_timers", us, (1,), new=us not in self._stored)
             self._alarms[us] = True
 
@@ -134,6 +138,19 @@ class KeyRun:
             self.store.remove("_timers", us)
             self._alarms[us] = False
 
+    def next_timer(self) -> int | None:
+        timers = self.timers()
+        while self._heap and self._heap[0] not in timers:
+            heapq.heappop(self._heap)
+        return self._heap[0] if self._heap else None
+
+    def next_due(self) -> int | None:
+        """The next time at which something is to be done without a record."""
+        front, back, _, retry = self._parked()
+        purge = self.store.get("_purge", "")
+        due = [self.next_timer(), retry if front < back else None, None if purge is None else purge[0]]
+        return min((t for t in due if t is not None), default=None)
+
     def purge(self, now_us: int) -> None:
         """Take expired items out of the state, where reads only skip them."""
         planned = self.store.get("_purge", "")
@@ -222,7 +239,14 @@ class KeyRun:
         method = "on_excise" if message.text is None else "on_message"
         return self._run(method, message, message.off, now_us, may_park=True)
 
-    # parked records: a queue at rising positions and the time of the next try
+    def _again(self, event: str, now_us: int) -> bool:
+        """Deliver what was parked: a record, or a timer as ``{"timer_us": …}``."""
+        parked = json.loads(event)
+        if isinstance(parked, dict):
+            return self._run("on_timer", Timer(self.key, parked["timer_us"]), None, now_us, may_park=True)
+        return self._deliver(Message(*parked), now_us)
+
+    # parked records and timers: a queue at rising positions and the time of the next try
     def _parked(self):
         return self.store.get("_parked_ends", "") or (0, 0, 0, 0)
 
@@ -231,9 +255,9 @@ class KeyRun:
         if front < back:
             self._arm(due_us)  # never taken back: a retry that is not due does nothing
 
-    def _park(self, message: Message, now_us: int) -> None:
+    def _park(self, event: str, now_us: int) -> None:
         front, back, tries, due = self._parked()
-        self.store.put("_parked", back, (message.to_json(), now_us))
+        self.store.put("_parked", back, (event, now_us))
         if front == back:
             tries, due = 1, now_us + self.settings.defer_base_ms * 1000
         self._set_parked(front, back + 1, tries, due)
@@ -241,8 +265,7 @@ class KeyRun:
     def _retry_parked(self, now_us: int) -> None:
         front, back, tries, _ = self._parked()
         while front < back:
-            message = Message.from_json(self.store.get("_parked", front)[0])
-            if not self._deliver(message, now_us):
+            if not self._again(self.store.get("_parked", front)[0], now_us):
                 wait = min(self.settings.defer_base_ms << min(tries, 40), self.settings.defer_cap_ms)
                 self._set_parked(front, back, tries + 1, now_us + wait * 1000)
                 return
@@ -250,27 +273,38 @@ class KeyRun:
             front, tries = front + 1, 0
         self._set_parked(front, back, 0, 0)
 
-    def fire_until(self, us: int | None) -> None:
-        """Fire timers and retries due by ``us``, all of them when None."""
+    def fire_until(self, us: int) -> None:
+        """Fire timers and retries due by ``us``."""
         while True:
             front, back, _, retry = self._parked()
-            due = [t for t in self.timers()]
-            if front < back:
-                due.append(retry)
-            if not due or (us is not None and min(due) > us):
+            timer = self.next_timer()
+            now_us = min((t for t in (timer, retry if front < back else None) if t is not None), default=None)
+            if now_us is None or now_us > us:
                 return
-            now_us = min(due)
-            if now_us in self.timers():
+            if now_us == timer:
                 self.drop_timer(now_us)
-                self._run("on_timer", Timer(self.key, now_us), None, now_us, may_park=False)
+                if not self._run("on_timer", Timer(self.key, now_us), None, now_us, may_park=True):
+                    self._park(json.dumps({"timer_us": now_us}), now_us)
             else:
                 self._retry_parked(now_us)
 
+    def finish(self, horizon_us: int) -> None:
+        """Fire what is due until ``horizon_us`` after the last record and timer; tell what stays open."""
+        self.fire_until(max([self._now, *self.timers()]) + horizon_us)
+        front, back, _, _ = self._parked()
+        for i in range(front, back):
+            parked = json.loads(self.store.get("_parked", i)[0])
+            self._off = None if isinstance(parked, dict) else parked[2]
+            self.out("pending", parked if isinstance(parked, dict) else {})
+        self._off = None
+        for timer_us in sorted(self.timers()):
+            self.out("pending", {"timer_us": timer_us})
+
     def record(self, message: Message) -> None:
         self.fire_until(message.ts_us)
         front, back, _, _ = self._parked()
         if front < back or not self._deliver(message, message.ts_us):
-            self._park(message, message.ts_us)
+            self._park(message.to_json(), message.ts_us)
 
 
 def check_handler(handler) -> None:
@@ -422,25 +456,67 @@ class HandlerProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         run = self._key_run(key)
-        ordered = sorted(rows, key=lambda r: (r.ts_us, r.part, r.off))
-        for r in ordered:
+        last_us = None
+        for r in sorted(rows, key=lambda r: (r.part, r.off)):
             run.record(Message(r.topic, r.part, r.off, r.ts_us, r.key, r.payload))
+            last_us = r.ts_us
             yield from (Row(**dict(zip(OUTPUT.names, row))) for row in run.take())
+        self._save(run, last_us, timerValues)
+
+    def _save(self, run, now_us, timerValues) -> None:
         run.save()
 
+    def _time_of(self, expired_timer, timerValues) -> int:
+        return expired_timer.getExpiryTimeInMs() * 1000
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # Timers that fired between records are gone from the state: nothing is left to do.
         run = self._key_run(key)
-        now_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        now_us = self._time_of(expiredTimerInfo, timerValues)
         run.fire_until(now_us)
         run.purge(now_us)
-        run.save()
+        self._save(run, now_us, timerValues)
         yield from (Row(**dict(zip(OUTPUT.names, row))) for row in run.take())
 
     def close(self) -> None:
         pass
 
 
+class WallClockProcessor(HandlerProcessor):
+    """The same without a watermark: each key has its own time, so no record is late.
+
+    A key's time is that of its last record, and goes on with the wall clock while no
+    record comes. One alarm per key wakes it up for what is due next.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.clock = handle.getValueState("_clock", "at_us bigint, wall_ms bigint, alarm_ms bigint")
+
+    def _arm(self, us):
+        pass
+
+    _disarm = _arm
+
+    def _time_of(self, expired_timer, timerValues):
+        at_us, wall_ms, _ = self.clock.get()
+        return at_us + (timerValues.getCurrentProcessingTimeInMs() - wall_ms) * 1000
+
+    def _save(self, run, now_us, timerValues) -> None:
+        due, wall_ms = run.next_due(), timerValues.getCurrentProcessingTimeInMs()
+        run.save()
+        due = min((t for t in (due, run.next_due()) if t is not None), default=None)
+        before = self.clock.get()
+        if before is not None and before[2] is not None:
+            self.handle.deleteTimer(before[2])
+        alarm = None if due is None else wall_ms + max(1, -(-(due - now_us) // 1000))
+        if alarm is not None:
+            self.handle.registerTimer(alarm)
+            self.clock.update((now_us, wall_ms, alarm))
+        elif before is not None:
+            self.clock.clear()
+
+
 def _ship(handler) -> None:
     """Send the handler's own module to the workers as code, too."""
     module = sys.modules.get(type(handler).__module__)
@@ -463,28 +539,35 @@ def run_stream(
     handler,
     collections: Iterable[Collection] = (),
     settings: Settings = Settings(),
-    watermark: str | None = "0 seconds",
+    watermark: str | None = None,
+    marked: bool = False,
 ) -> DataFrame:
     """A handler over a stream of records: rows ``topic, key, off, kind, body, at``.
 
     ``kind`` is ``emit``, ``response`` (what a handler returned, as JSON),
-    ``dead_letter`` or ``dropped``. A ``watermark`` of None keeps the one ``ts`` has.
+    ``dead_letter``, ``dropped`` or, from tables, ``pending``. Every record is delivered, however far its key lags
+    behind others; a key's timers fire when its own records reach them, or when as much
+    time has passed on the wall clock.
+
+    With a ``watermark`` timers follow it instead, which makes what fires depend on the
+    records alone, and Spark drops records behind it. ``marked``: ``ts`` has it already.
     """
     check_handler(handler)
     _ship(handler)
     registered = register(collections)
     configure(records.sparkSession)
-    timed = records if watermark is None else records.withWatermark("ts", watermark)
+    timed = records if watermark is None or marked else records.withWatermark("ts", watermark)
+    processor = WallClockProcessor if watermark is None else HandlerProcessor
     rows = (
         _input(timed)
         .groupBy(*KEY)
-        .transformWithState(
-            HandlerProcessor(handler, registered, settings), OUTPUT, "Append", "EventTime")
+        .transformWithState(processor(handler, registered, settings), OUTPUT, "Append",
+                            "ProcessingTime" if watermark is None else "EventTime")
     )
     return _output(rows)
 
 
-def _table_pass(handler, collections, settings, flush):
+def _table_pass(handler, collections, settings, horizon_us):
     def nothing(us):
         return None
 
@@ -492,8 +575,8 @@ def _table_pass(handler, collections, settings, flush):
         current, key = None, None
 
         def rows_of(done, last):
-            if done is not None and last and flush:
-                done.fire_until(None)
+            if done is not None and last and horizon_us is not None:
+                done.finish(horizon_us)
             return done.take() if done is not None else []
 
         for batch in batches:
@@ -530,9 +613,13 @@ def run_table(
     collections: Iterable[Collection] = (),
     settings: Settings = Settings(),
     flush: bool = True,
+    horizon_seconds: int = 3600,
 ) -> DataFrame:
     """A handler over a table; with ``flush`` timers still open at its end fire.
 
+    Time goes on until ``horizon_seconds`` after a key's last record and timer; timers
+    that handlers set beyond that and records still failing then give ``pending`` rows.
+
     A handler is arbitrary code that must see its key's records in order, so a
     key is worked on by one task; rows stream through it and only the key's own
     state is held. Use the operators where one fits, they split hot keys.
@@ -541,5 +628,6 @@ def run_table(
     _ship(handler)
     registered = register(collections)
     configure(records.sparkSession)
-    ordered = _input(records).drop("ts").repartition(*KEY).sortWithinPartitions(*KEY, "ts_us", "part", "off")
-    return _output(ordered.mapInArrow(_table_pass(handler, registered, settings, flush), OUTPUT))
+    ordered = _input(records).drop("ts").repartition(*KEY).sortWithinPartitions(*KEY, "part", "off")
+    horizon_us = horizon_seconds * SECOND if flush else None
+    return _output(ordered.mapInArrow(_table_pass(handler, registered, settings, horizon_us), OUTPUT))

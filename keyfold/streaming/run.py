@@ -7,15 +7,22 @@ from pyspark.sql import DataFrame
 from keyfold.session import shared_dir
 
 
-def run_available(stream: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def run_available(stream: DataFrame, name: str, partitions: int | None = None, event_time: bool = True) -> DataFrame:
     """Process everything available into files of the shared folder; read them back.
 
     ``name`` identifies the query: run again under the same name it continues
-    from its checkpoint and adds what is new.
+    from its checkpoint and adds what is new. Batches without data let timers of
+    event time fire at the end; a stream on the wall clock (``event_time`` False) would
+    go on with them for ever and ends with its input instead.
     """
     spark = stream.sparkSession
     home = f"{shared_dir(spark)}/{name}"
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    no_data = spark.conf.get(NO_DATA)
+    spark.conf.set(NO_DATA, str(event_time).lower())
     if partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
@@ -27,4 +34,5 @@ def run_available(stream: DataFrame, name: str, partitions: int | None = None) -
         query.awaitTermination()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(NO_DATA, no_data)
     return spark.read.schema(stream.schema).parquet(f"{home}/rows")

@@ -1,5 +1,7 @@
 """Definitions, handles and handlers; no Spark but in the last tests."""
 
+import time
+
 import pytest
 from fixtures import at, micro_batches, records, rows
 
@@ -210,7 +212,7 @@ def run(messages, **settings):
                  lambda us: None, lambda us: None)
     for m in messages:
         key.record(m)
-    key.fire_until(None)
+    key.finish(3600 * 1_000_000)
     return handler, [(off, kind, body) for _, _, off, _, kind, body in key.take()]
 
 
@@ -245,6 +247,45 @@ def test_timers_fire_before_later_records_and_survive_failures():
     assert handler.seen == [1, 3]
 
 
+class Restless(Scripted):
+    """Its first timer fails twice; every later one sets the next."""
+
+    fails = 2
+
+    def on_timer(self, ctx, timer):
+        if self.fails:
+            self.fails -= 1
+            raise ValueError("not yet")
+        super().on_timer(ctx, timer)
+        ctx.schedule(ctx.now_us + 600_000_000)
+
+
+def passed(handler, *messages):
+    key = KeyRun(handler, d.register([COUNT]), Settings(), MemoryStore(), ("t", "a"), lambda us: None, lambda us: None)
+    for m in messages:
+        key.record(m)
+    key.finish(3600 * 1_000_000)
+    return [(off, kind, body) for _, _, off, _, kind, body in key.take()]
+
+
+def test_failed_timers_are_tried_again_and_tables_end():
+    handler = Restless()
+    out = passed(handler, message(1, '{"schedule": 5}'))
+    # tried at 5, 6 and 8 seconds, then each ten minutes until an hour after the first
+    assert handler.seen == [1, ("timer", 5), *(("timer", 8 + 600 * i) for i in range(1, 6))]
+    assert out[1:] == [(None, "pending", '{"timer_us": 3608000000}')]
+    # a record that never succeeds holds back the next, and both are told
+    out = passed(Scripted(), message(1, '{"fail": 1000000}'), message(2, "{}", 1))
+    assert out == [(1, "pending", "{}"), (2, "pending", "{}")]
+
+
+def test_many_timers_cost_no_square():
+    handler = Scripted()
+    started = time.time()
+    passed(handler, *(message(i, '{"schedule": 100000}', i) for i in range(8000)))
+    assert len(handler.seen) == 16000 and time.time() - started < 5
+
+
 def test_expired_items_leave_the_state():
     value, items, queue = d.value("v", ttl_seconds=10), d.map("m", ttl_seconds=20), d.deque("q", ttl_seconds=10)
     backing, armed = MemoryStore(), set()
@@ -308,7 +349,7 @@ def test_stream_in_many_batches_equals_table(spark, tmp_path):
     stream = micro_batches(spark, tmp_path, [records(spark, LOG_ROWS[i:i + 2]) for i in range(0, 8, 2)])
     handler = Totals()
     columns = ["key", "off", "kind", "body", "at"]
-    got = run_available(run_stream(stream, handler, handler.collections), f"totals-{tmp_path.name}", 2)
+    got = run_available(run_stream(stream, handler, handler.collections, watermark="0 seconds"), f"totals-{tmp_path.name}", 2)
     want = run_table(table, handler, handler.collections)
     closed = [r for r in rows(want, *columns) if not (r[0] == "end" and r[2] == "emit")]
     assert rows(got, *columns) == closed

@@ -26,7 +26,7 @@ def test_dedup(spark, tmp_path):
            for i in range(90)]
     frames = [records(spark, log[i:i + 30]) for i in (0, 30, 60)]
     stream = micro_batches(spark, tmp_path, frames)
-    got = run_available(dedup_stream(stream, 60, "payload"), f"dedup-{tmp_path.name}", 2)
+    got = run_available(dedup_stream(stream, 60, "payload"), f"dedup-{tmp_path.name}", 2, event_time=False)
     want = dedup_ttl(records(spark, log), 60, "payload")
     assert rows(got, "off") == rows(want, "off")
     cheap = run_available(dedup_within_watermark(stream, "60 seconds", "payload"), f"cheap-{tmp_path.name}", 2)
@@ -34,6 +34,37 @@ def test_dedup(spark, tmp_path):
     assert {(r.key, r.payload) for r in cheap.where("payload IS NOT NULL").collect()} == ids
 
 
+class Seen:
+    """Answers each record with its offset; a timer two minutes later."""
+
+    collections = ()
+
+    def on_message(self, ctx, message):
+        ctx.schedule(ctx.now_us + 120_000_000)
+        return message.off
+
+    on_excise = on_message
+
+    def on_timer(self, ctx, timer):
+        ctx.emit("fired")
+
+
+def test_no_record_is_late(spark, tmp_path):
+    # b lags behind a in each batch, and the times of a fall once
+    steps = [[("a", 0, 1000, "x"), ("b", 1, 10, "x")], [("a", 2, 2000, "y"), ("b", 3, 20, "y")],
+             [("a", 4, 1990, "z"), ("a", 5, 3000, "z"), ("b", 6, 30, "x")]]
+    stream = micro_batches(spark, tmp_path, [records(spark, step) for step in steps])
+    got = run_available(run_stream(stream, Seen()), f"late-{tmp_path.name}", 2, event_time=False)
+    answers = got.where("kind = 'response'")
+    assert rows(answers, "key", "off") == [("a", 0), ("a", 2), ("a", 4), ("a", 5), ("b", 1), ("b", 3), ("b", 6)]
+    # the timers that later records of the key reach
+    fired = got.where("kind = 'emit'").select("key", F.unix_timestamp("at").alias("s"))
+    start = int(records(spark, steps[0]).select(F.unix_timestamp("ts") - 1000).first()[0])
+    assert rows(fired, "key", "s") == [("a", start + s) for s in (1120, 2110, 2120)]
+    kept = run_available(dedup_stream(stream, 600, "payload"), f"ids-{tmp_path.name}", 2, event_time=False)
+    assert rows(kept, "key", "off") == [("a", 0), ("a", 2), ("a", 4), ("a", 5), ("b", 1), ("b", 3)]
+
+
 BODY = "ok boolean, value string, kind string, message string"
 
 
@@ -73,7 +104,7 @@ def test_windows_with_excise(spark, tmp_path):
     frames = [records(spark, log[a:b]) for a, b in zip([0, *cut], [*cut, len(log)])]
     handler = handlers.WindowNotify(15, 3)
     name = f"windows-{tmp_path.name}"
-    got = run_available(run_stream(micro_batches(spark, tmp_path, frames), handler, handler.collections), name, 2)
+    got = run_available(run_stream(micro_batches(spark, tmp_path, frames), handler, handler.collections, watermark="0 seconds"), name, 2)
     body = F.from_json("body", "kind string, ids array<bigint>")
     sent = got.where("kind = 'emit'").select("key", body.alias("b")).select(
         "key", "b.kind", F.array_join("b.ids", ",").alias("ids"))
