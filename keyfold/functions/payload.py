@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,23 +13,32 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Put behind a payload before parsing. Drawn by each process, so no payload can hold it.
+_END = uuid.uuid4().hex
+
+
+def _framed(payload: Column | str) -> tuple[Column, Column]:
+    """The payload as first element of an array, and whether it is all of that element.
+
+    ``try_parse_json`` stops at the end of the first value and ignores what follows. So
+    an end mark is the second element: it is found there only if exactly one document
+    stands before it. Parsing once answers both.
+    """
+    framed = F.try_parse_json(F.concat(F.lit("["), _col(payload), F.lit(f',"{_END}"]')))
+    return framed, F.coalesce(F.try_variant_get(framed, "$[1]", "string") == _END, F.lit(False))
+
+
 def parsed(payload: Column | str) -> Column:
     """The payload as a variant, null unless the whole text is one JSON document.
 
-    ``try_parse_json`` alone stops at the end of the first value and ignores what
-    follows. A text with a tail cannot be both the only element of an array and
-    the only value of an object, so both are asked first. Objects that repeat a
-    name keep the last value, see ``session.SETTINGS``.
+    Objects that repeat a name keep the last value, see ``session.SETTINGS``.
     """
-    text = _col(payload)
-    alone = (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1) & (
-        F.size(F.json_object_keys(F.concat(F.lit('{"a":'), text, F.lit("}")))) == 1
-    )
-    return F.when(alone, F.try_parse_json(text))
+    framed, whole = _framed(payload)
+    return F.when(whole, F.try_variant_get(framed, "$[0]", "variant"))
 
 
 def is_json(payload: Column | str) -> Column:
-    return parsed(payload).isNotNull()
+    return _framed(payload)[1]
 
 
 def string_field(document: Column, name: str) -> Column:
@@ -59,11 +70,11 @@ def decode_payload(
     Excise records belong to neither frame.
     """
     present = df.where(F.col(payload).isNotNull())
-    document = parsed(payload)
-    good = present.withColumn("document", document).where("document IS NOT NULL")
+    whole = is_json(payload)
+    good = present.where(whole).withColumn("document", parsed(payload))
     if schema is not None:
         good = good.withColumn("document", F.from_json(F.col(payload), schema))
-    broken = present.where(document.isNull()).withColumns({
+    broken = present.where(~whole).withColumns({
         "error_category": F.lit("permanent"),
         "error_message": F.lit("message payload is not JSON"),
     })

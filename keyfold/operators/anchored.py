@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.functions.times import units
+from keyfold.operators.joins import join_on
 
 SECOND_US = 1_000_000
 MILLISECOND_US = 1_000
@@ -35,7 +36,9 @@ def key_changes(batch: pa.RecordBatch, by: Sequence[str], previous: tuple | None
     for name in by:
         column = batch.column(name)
         if n > 1:
-            differs = pc.not_equal(column.slice(1), column.slice(0, n - 1))
+            here, above = column.slice(1), column.slice(0, n - 1)
+            # null is a key too: it differs from all others and not from itself
+            differs = pc.coalesce(pc.not_equal(here, above), pc.xor(here.is_null(), above.is_null()))
             changed[1:] |= differs.to_numpy(zero_copy_only=False)
     changed[0] = previous is None or key_at(batch, by, 0) != previous
     return changed
@@ -145,4 +148,4 @@ def assign_windows(
 ) -> DataFrame:
     """Every record with ``start_us``, ``start_tie`` and ``end_us`` of its window."""
     slots = anchored_slots(df, by, us, width_us, unit_us, half_up, tie).drop("opens")
-    return df.withColumn("slot", units(us, unit_us)).join(slots, [*by, "slot"]).drop("slot")
+    return join_on(df.withColumn("slot", units(us, unit_us)), slots, [*by, "slot"]).drop("slot")

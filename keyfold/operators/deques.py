@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.operators.anchored import key_at, key_changes
+from keyfold.operators.joins import keyed
 from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, hot_keys, running
 from keyfold.schema import OP_KEY
 from keyfold.session import materialize
@@ -163,7 +164,7 @@ def deque_trace(
         "low": F.when(op.isin(*REMOVALS, "clear"), F.lit(0)).otherwise(low),
         "high": F.when(op.isin(*WRITES), F.lit(cap)).when(op == "clear", F.lit(0)).otherwise(high),
     }
-    narrow = ops.select(*by, "seq", "op", *[c.cast("bigint").alias(n) for n, c in clamp.items()])
+    narrow = keyed(ops.select(*by, "seq", "op"), by).select("*", *[c.cast("bigint").alias(n) for n, c in clamp.items()])
     hot = hot_keys(narrow, by, chunk_rows)
 
     def entered(length):
@@ -275,7 +276,7 @@ def deque_latest(ops: DataFrame, capacity: int, by: Sequence[str] = OP_KEY) -> D
     """
     by = list(by)
     other = F.raise_error(F.concat(F.lit("deque_latest takes push and clear, not "), F.coalesce("op", F.lit("null"))))
-    ops = ops.withColumn("op", F.when(F.col("op").isin("push", "clear"), F.col("op")).otherwise(other))
+    ops = keyed(ops, by).withColumn("op", F.when(F.col("op").isin("push", "clear"), F.col("op")).otherwise(other))
     cleared = ops.where("op = 'clear'").groupBy(*by).agg(F.max("seq").alias("_cleared"))
     newest = Window.partitionBy(*by).orderBy(F.col("seq").desc())
     # Pushes before the last clear rank behind those after it, so cutting to the

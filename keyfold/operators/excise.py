@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.operators.joins import join_on
 from keyfold.schema import KEY
 
 
@@ -25,8 +26,7 @@ def excise_cascade(log: DataFrame, by: Sequence[str] = KEY) -> DataFrame:
     """Records that came after their key's last excise; other keys keep all."""
     gone = excised_keys(log, by).select(*by, "excised")
     return (
-        log.where(F.col("payload").isNotNull())
-        .join(gone, list(by), "left")
+        join_on(log.where(F.col("payload").isNotNull()), gone, by, "left")
         .where(F.col("excised").isNull() | (F.struct("part", "off") > F.col("excised")))
         .drop("excised")
     )
@@ -38,7 +38,7 @@ def purge(
     """A derived table (state, timers, copies) without rows written before the excise."""
     gone = excised_keys(log, by).select(*by, "excised_ts")
     return (
-        table.join(gone, list(by), "left")
+        join_on(table, gone, by, "left")
         .where(F.col("excised_ts").isNull() | (F.col(ts) > F.col("excised_ts")))
         .drop("excised_ts")
     )
@@ -67,8 +67,7 @@ def excise_audit(
 
     def left_over(name, table):
         return (
-            table.select(*by, "ts")
-            .join(gone, list(by))
+            join_on(table.select(*by, "ts"), gone, by)
             .where("ts <= excised_ts")
             .groupBy(*by)
             .agg(F.count("*").alias("rows"))

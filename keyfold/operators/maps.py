@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.operators.joins import join_on
 from keyfold.schema import OP_KEY
 
 
@@ -24,7 +25,7 @@ def map_fold(ops: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
         .where("_last.op = 'set'")
     )
     return (
-        latest.join(clears, list(by), "left")
+        join_on(latest, clears, by, "left")
         .where("_cleared IS NULL OR seq > _cleared")
         .select(*by, "map_key", "seq", "_last.ts", "_last.item")
     )
@@ -32,13 +33,13 @@ def map_fold(ops: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
 
 def map_get(snapshot: DataFrame, lookups: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
     """Each lookup ``(key, map_key)`` with its item, null when absent."""
-    return lookups.join(snapshot.select(*by, "map_key", "item"), [*by, "map_key"], "left")
+    return join_on(lookups, snapshot.select(*by, "map_key", "item"), [*by, "map_key"], "left")
 
 
 def map_has(snapshot: DataFrame, lookups: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
     """Each lookup with ``present``; items are neither read nor resolved."""
     keys = snapshot.select(*by, "map_key", F.lit(True).alias("_hit"))
-    return lookups.join(keys, [*by, "map_key"], "left").withColumn(
+    return join_on(lookups, keys, [*by, "map_key"], "left").withColumn(
         "present", F.col("_hit").isNotNull()
     ).drop("_hit")
 

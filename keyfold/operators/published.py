@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from keyfold.functions.times import from_micros, micros
 from keyfold.operators import deques, maps
 from keyfold.operators.anchored import MILLISECOND_US, assign_windows
+from keyfold.operators.joins import join_on
 from keyfold.operators.scan import asof_join
 from keyfold.schema import OP_KEY
 
@@ -84,7 +85,7 @@ def publish_catalog(lookups: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def of_keys(snapshot: DataFrame, lookups: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
     """The part of a snapshot whose keys are asked for, for scans by key."""
-    return snapshot.join(lookups.select(*by), list(by), "left_semi")
+    return join_on(snapshot, lookups.select(*by), by, "left_semi")
 
 
 published_map_get = maps.map_get

@@ -24,12 +24,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfold.functions.times import units
+from keyfold.operators.joins import join_on
 
 CHUNK_ROWS = 1 << 18
 # A key is cut up when it has more rows than this many chunks.
@@ -71,7 +72,8 @@ class Hot:
         if not self.any:
             return df.withColumn("_hot", F.lit(False))
         if self.listed is None:
-            return df.withColumn("_hot", F.lit(True))
+            # without a key a row is not cut up, here as with a list
+            return df.withColumn("_hot", reduce(and_, (F.col(c).isNotNull() for c in by)))
         # at most MAX_LISTED keys
         marked = df.join(F.broadcast(self.listed), list(by), "left")
         return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
@@ -256,4 +258,4 @@ def asof_join(
     scanned = running(
         line, by, ["_at", "_side"], by_minute("_at"), hit, forward, hot=hot
     ).where(F.col("_side") == left_side)
-    return left.join(scanned.select(*by, F.col("_at").alias(left_us), "hit"), [*by, left_us], "left")
+    return join_on(left, scanned.select(*by, F.col("_at").alias(left_us), "hit"), [*by, left_us], "left")

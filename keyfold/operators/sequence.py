@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keyfold.functions.times import micros
 from keyfold.operators.anchored import anchored_slots
+from keyfold.operators.joins import join_on
 from keyfold.operators.scan import CHUNK_ROWS, Hot, Running, by_position, running
 from keyfold.schema import KEY
 
@@ -69,7 +70,7 @@ def dedup_ttl(
     )
     first = Window.partitionBy(*group, "_us").orderBy("part", "off")
     survivors = (
-        named.join(kept, [*group, "_us"], "left_semi")
+        join_on(named, kept, [*group, "_us"], "left_semi")
         .withColumn("_rank", F.row_number().over(first))
         .where("_rank = 1")
         .select(*records.columns)
@@ -90,4 +91,4 @@ def drop_seen(
     so all its records are processed again.
     """
     known = seen.where(F.col("version") == version).select(*by, event_id)
-    return records.join(known, [*by, event_id], "left_anti")
+    return join_on(records, known, [*by, event_id], "left_anti").select(*records.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from keyfold.functions.times import from_micros, micros
 from keyfold.operators.anchored import assign_windows
+from keyfold.operators.joins import join_on
 from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, running
 from keyfold.schema import KEY
 
@@ -80,11 +81,11 @@ def window_notify(
         starts = placed.where("_first").select(
             *group, "start_us", F.lead("start_us").over(following).alias("_next")
         )
-        sent = sent.join(starts, [*group, "start_us"], "left").where(
+        sent = join_on(sent, starts, [*group, "start_us"], "left").where(
             "_first OR _next IS NULL OR _next >= fire_us"
         )
     if excise is not None:
-        sent = sent.join(closed, group, "left").where(
+        sent = join_on(sent, closed, group, "left").where(
             "_first OR _excised IS NULL OR fire_us <= _excised"
         )
     return sent.select(

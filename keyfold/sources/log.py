@@ -79,6 +79,18 @@ def split_excise(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return log.where(F.col("payload").isNotNull()), log.where(F.col("payload").isNull())
 
 
+def split_keyless(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records with a key, and those without with ``error_category`` permanent.
+
+    Operators take a missing key for a key like any other; deques refuse it.
+    """
+    keyless = log.where(F.col("key").isNull()).withColumns({
+        "error_category": F.lit("permanent"),
+        "error_message": F.lit("record has no key"),
+    })
+    return log.where(F.col("key").isNotNull()), keyless
+
+
 def outgoing(records: DataFrame, source_system: str) -> DataFrame:
     """Records as Kafka rows: ``topic, key, value, headers``.
 
