@@ -63,18 +63,16 @@ def stale_read(
 
 
 def published_collections(catalog: DataFrame) -> DataFrame:
-    """Readable collections, each with the one group that serves it; two groups are an error.
+    """Readable collections, each with the one group that serves it.
 
     ``catalog`` has ``subsystem, collection, payload, published, group_id``; only
-    published JSON collections can be read.
+    published JSON collections can be read. Where several groups publish a collection,
+    the one with the least id serves it.
     """
     return (
         catalog.where((F.col("payload") == "json") & F.col("published"))
         .groupBy("subsystem", "collection")
-        .agg(F.min("group_id").alias("group_id"), F.max("group_id").alias("_other"))
-        .withColumn("group_id", F.when(F.col("group_id") == F.col("_other"), F.col("group_id")).otherwise(F.raise_error(
-            F.concat(F.lit("several groups publish "), F.col("subsystem"), F.lit("/"), F.col("collection")))))
-        .drop("_other")
+        .agg(F.min("group_id").alias("group_id"))
     )
 
 
