@@ -209,9 +209,11 @@ def _totals(asked: DataFrame) -> DataFrame:
         total = np.bincount(at, weights=values.astype(np.float64), minlength=len(distinct))
         exact = total if kind in (_GAIN_ONE, _GAIN_TWO) else np.rint(total).astype(np.uint64)
         cut = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        answers = [numbers(exact[at[a:b]]) for a, b in zip(cut[:-1], cut[1:])]
-        size = len(table)
-        return pa.table({"block": table["block"], "kind": pa.array([kind] * size, pa.int32()), "part": pa.array([part] * size, pa.int32()),
+        # Blocks of equal content have one name and one question: each counts, one answer serves them all.
+        names, own = np.unique(table["block"].to_numpy(), return_index=True)
+        answers = [numbers(exact[at[cut[i]:cut[i + 1]]]) for i in own]
+        size = len(own)
+        return pa.table({"block": pa.array(names, pa.int64()), "kind": pa.array([kind] * size, pa.int32()), "part": pa.array([part] * size, pa.int32()),
                          "answer": pa.array(answers, pa.binary()),
                          "total": pa.array([int(exact.sum()) if kind == _ONE else 0] + [0] * (size - 1), pa.int64()),
                          "distinct": pa.array([int((exact > 0).sum()) if kind == _ONE else 0] + [0] * (size - 1), pa.int64())})

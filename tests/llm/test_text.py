@@ -158,6 +158,21 @@ def test_suffix_tree_without_rows_to_learn_from(spark, docs):
     assert suffix_tree.score_texts(empty(spark), F.lit(False)).count() == 0
 
 
+def test_suffix_tree_with_equal_blocks(spark, docs, tmp_path):
+    docs[0].select("doc_id", "text").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    one = spark.read.parquet(f"{tmp_path}/docs")
+    names = [r.block for r in suffix_tree._pack(one.union(one).select("doc_id", F.lit(False).alias("held_out"), "text")).collect()]
+    assert len(names) == 2 and len(set(names)) == 1
+
+    def scores(frame):
+        rows = suffix_tree.score_texts(frame, quality.in_fold("doc_id", 1)).collect()
+        return sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.score, 2)) for r in rows)
+
+    got, want = scores(one.union(one)), scores(one.union(one).coalesce(1))
+    assert len(got) == 2 * len(docs[1]) and [g[:4] for g in got] == [w[:4] for w in want]
+    assert [g[4] for g in got] == pytest.approx([w[4] for w in want], rel=1e-3, abs=0.02)
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_near_duplicates(spark, docs, width, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_SETS", 3)
