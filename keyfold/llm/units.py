@@ -1,6 +1,7 @@
 """Repeated lines: every unit of text is hashed, one occurrence of each is kept.
 
-A unit is a line, cut after each sentence end inside it. Units are compared after
+A unit is a line, cut after each sentence end inside it: a mark with a blank after it, or
+a full-width mark, with what closes a quotation, where scripts need no blank. Units are compared after
 lower-casing and joining their words with single spaces. Of equal units the one of
 the smallest document, then the earliest in it, stays; the others are removed.
 Digests have 128 bits: equal digests are taken as equal units.
@@ -19,7 +20,9 @@ from pyspark.sql import types as T
 
 from keyfold.llm import words
 
-_CUT = re.compile(r"\n|(?<=[.!?])[ \t]+")
+_CLOSE = "」』）】”’"
+_CUT = re.compile(
+    rf"\n|(?<=[.!?؟۔।॥။።])[ \t\u3000]+|(?:(?<=[。！？｡])|(?<=．)(?!\d)|(?<=[。！？｡．][{_CLOSE}]))(?![。！？｡．{_CLOSE}])[ \t\u3000]*")
 
 
 def units(text: str | None):
@@ -48,7 +51,7 @@ def cut(text: str | None, spans) -> str:
         out.append(text[at:start])
         at = end
         # what separated a removed unit from its successor goes with it
-        while at < len(text) and text[at] in " \t":
+        while at < len(text) and text[at] in " \t\u3000":
             at += 1
         if at < len(text) and text[at] == "\n" and (start == 0 or text[start - 1] == "\n"):
             at += 1

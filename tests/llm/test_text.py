@@ -338,6 +338,17 @@ def test_units(spark):
                    5: [("", 1, 1)] * 2, 6: [("short\nshort", 2, 0)]}
 
 
+def test_units_of_few_words_and_without_spaces(spark, tmp_path):
+    same = "今日は天気がとても良いので散歩に出かけました。"
+    rows = [(1, f"Main menu\n{same}駅前で友人に会いました。"), (2, f"main  menu\n  \n店は休みでした！」{same}終わり"), (3, f"{same}\nวันนี้อากาศดี"), (4, "วันนี้อากาศดี\nown")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    texts, want = dict(rows), {1: rows[0][1], 2: "  \n店は休みでした！」終わり", 3: "วันนี้อากาศดี", 4: "own"}
+    got = {r.doc_id: r for r in queries.op8_substring_dedup(spark, str(tmp_path)).collect()}
+    assert {i: r.kept_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+    assert [texts[2][s.start:s.end] for s in got[2].removed] == ["main  menu", same]
+    assert [u[2] for u in units.units("一。二？」 三．四 Five. Six ３．１４")] == ["一。", "二？」", "三．", "四 Five.", "Six ３．１４"]
+
+
 def test_neighbours_recall_and_ties(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(700, 24)) * rng.uniform(0.5, 2, size=(700, 1))
