@@ -1,11 +1,12 @@
 """Personal data: fixed patterns, extended by a skip-chain conditional random field.
 
 The patterns give base spans, which stay. The field then labels the tokens that hold a
-digit or an at sign. Neighbouring tokens share chain potentials; tokens of a document
-that are equal, or end in the same seven digits, share skip potentials however far
-apart they stand. Loopy message passing spreads a label found once to the same
-entity written elsewhere. Tokens of base spans are observed; tokens without digit or
-at sign are observed as outside.
+digit or an at sign. Neighbouring tokens share chain potentials. Tokens of a document
+share skip potentials, however far apart they stand, where they are equal, or hold the
+same digits of runs of number tokens that end in the same seven digits or the same four
+numbers up to 255: one token, or several side by side. Loopy message passing spreads a
+label found once to the same entity written elsewhere. Tokens of base spans are observed;
+tokens without digit or at sign are observed as outside. A token is taken by its posterior.
 
 Weights are learned piecewise from base spans of a bounded sample: token potentials by
 multinomial logistic regression, chain and skip potentials as log odds of label pairs.
@@ -14,6 +15,7 @@ multinomial logistic regression, chain and skip potentials as log odds of label
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +28,15 @@ from keyfold.llm import words
 
 #: Documents with candidate tokens the field is fitted on, at most.
 SAMPLE_ROWS = 3_000
-#: Candidate tokens kept of one sampled document for fitting.
-SAMPLE_TOKENS = 200
+#: Digits at the end of two runs that make them the same number, and digits of the longest run.
+SAME_DIGITS, MOST_DIGITS = 7, 19
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE, LABELS = 0, 5
 #: Posterior from which a token is taken.
 SURE = 0.9
 ROUNDS = 8
+#: Linked pairs of each label alike that the fit starts from: numbers that recur are rarely of two kinds.
+ALIKE = 50
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -43,6 +47,7 @@ _ANY = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
 _SPACE_BEFORE = re.compile(r"[^\s]+\s+\Z")
 _DIGITS = re.compile(r"[0-9]")
+_GROUPS = re.compile(r"[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -117,9 +122,61 @@ def shape(token: str) -> np.ndarray:
     return row
 
 
+@dataclass
+class _Runs:
+    """Numbers of the tokens of a text, by token: runs of tokens side by side are read as one."""
+
+    groups: list[list[str]]
+    first: list[int]      # first token of the run a token belongs to
+
+    def back(self, i: int):
+        """(token, group) of the run that ends with token i, last first."""
+        for j in range(i, self.first[i] - 1, -1):
+            for group in reversed(self.groups[j]):
+                yield j, group
+
+    def digits(self, i: int) -> list[tuple[int, str]]:
+        """(token, digit) of the run that ends with token i, last first."""
+        out: list[tuple[int, str]] = []
+        for j, group in self.back(i):
+            out += [(j, c) for c in reversed(group)]
+            if len(out) >= MOST_DIGITS:
+                break
+        return out[:MOST_DIGITS]
+
+    def quad(self, i: int) -> list[tuple[int, str]]:
+        """(token, number) of the address that the run up to token i ends with, last first; or none."""
+        out = []
+        for j, group in self.back(i):
+            if len(group.lstrip("0")) > 3 or int(group) > 255:
+                break
+            out.append((j, str(int(group))))
+            if len(out) == 4:
+                return out
+        return []
+
+
+def _shared(a: list[tuple[int, str]], b: list[tuple[int, str]], size: dict[int, int], enough: int) -> list[tuple[int, int]]:
+    """Pairs of tokens that hold the same places of the common end of two runs.
+
+    One of a pair is inside that end as a whole, unless both share ``enough`` places.
+    """
+    n = 0
+    while n < min(len(a), len(b)) and a[n][1] == b[n][1]:
+        n += 1
+    inside, pairs = Counter(), Counter()
+    for (x, _), (y, _) in zip(a[:n], b[:n]):
+        inside[0, x] += 1
+        inside[1, y] += 1
+        pairs[x, y] += 1
+    return [(min(x, y), max(x, y)) for (x, y), shared in pairs.items()
+            if x != y and (shared >= enough or inside[0, x] == size[x] or inside[1, y] == size[y])]
+
+
 def tokens(text: str, base: list[tuple[int, int, int]]) -> Tokens:
     out, rows, last, known = Tokens([], [], np.zeros((0, N_FEATURES)), [], [], [], []), [], {}, -1
     begin, open_spans = 0, []
+    runs, linked, size, number, ends = _Runs([], []), {}, {}, {}, True
     for i, m in enumerate(_TOKEN.finditer(text)):
         start, end, body = m.start(), m.end(), m[0]
         while begin < len(base) and base[begin][0] < end:
@@ -131,12 +188,26 @@ def tokens(text: str, base: list[tuple[int, int, int]]) -> Tokens:
         out.chain.append(known >= 0 and not text[known:start].strip())
         known = end
         rows.append(shape(body))
-        digits = "".join(_DIGITS.findall(body))
-        key = body.strip(".,;:!?\"'()").lower() if "@" in body else digits[-7:] if len(digits) >= 7 else None
-        if key:
+        groups = _GROUPS.findall(body)
+        alone = not groups or any(c.isalpha() or c == "@" for c in body)
+        runs.groups.append(groups)
+        runs.first.append(i if alone or ends or not out.chain[i] or body[0] == "+" else runs.first[i - 1])
+        ends = alone or body[-1] in ".,;:!?"
+        size[i], number[i] = sum(map(len, groups)), len(groups)
+        if "@" in body:
+            key = body.strip(".,;:!?\"'()").lower()
             if key in last:  # a chain of links, one for each occurrence
-                out.skip.append((last[key], i))
+                linked[last[key], i] = None
             last[key] = i
+            continue
+        digits, quad = runs.digits(i), runs.quad(i)
+        for key, of, length, enough in ((tuple(c for _, c in digits[:SAME_DIGITS]) if len(digits) >= SAME_DIGITS else None, runs.digits, size, SAME_DIGITS),
+                                        (tuple(c for _, c in quad) or None, runs.quad, number, 4)):
+            if key:
+                if key in last:
+                    linked.update(dict.fromkeys(_shared(of(last[key]), of(i), length, enough)))
+                last[key] = i
+    out.skip = list(linked)
     if rows:
         own = np.stack(rows)
         near = np.array(out.chain)
@@ -154,42 +225,48 @@ class Field:
     skip: np.ndarray
 
 
-def fit(sample: list[Tokens], steps: int = 200) -> Field:
-    """Piecewise training; without a sample nothing beyond base spans is sure."""
-    chain, skip = np.ones((LABELS, LABELS)), np.ones((LABELS, LABELS)) + np.eye(LABELS)
+def learned(t: Tokens) -> Counter:
+    """What a text says to the fit: labelled tokens by shape, and label pairs of chains and skips."""
+    found: Counter = Counter()
+    label, near = np.array(t.label, dtype=np.int64), np.flatnonzero(t.chain)
+    # What a base entity's number stands beside without a pattern is unlabelled, not outside.
+    known = np.ones(len(label), dtype=bool)
+    for a, b in t.skip:
+        if (label[a] == OUTSIDE) != (label[b] == OUTSIDE):
+            known[a if label[a] == OUTSIDE else b] = False
+        else:
+            found["skip", bytes([label[a], label[b]]), 0] += 1
+            found["skip", bytes([label[b], label[a]]), 0] += 1
+    for i, j in [*zip(near - 1, near), *zip(near[::-1], near[::-1] - 1)]:
+        if not known[i] and label[j] == OUTSIDE:
+            known[j] = False
+    for i in near[known[near] & known[near - 1]]:
+        found["chain", bytes([label[i - 1], label[i]]), 0] += 1
+    packed = np.packbits(t.shape[known].astype(bool), axis=1)
+    for row, y in zip(packed, label[known]):
+        found["token", row.tobytes(), int(y)] += 1
+    return found
+
+
+def fit(sample: Counter, steps: int = 200) -> Field:
+    """Piecewise training on summed ``learned``; without a sample nothing beyond base spans is sure."""
+    chain, skip = np.ones((LABELS, LABELS)), np.ones((LABELS, LABELS)) + ALIKE * np.eye(LABELS)
     weights = np.zeros((N_FEATURES, LABELS))
-    sample = [t for t in sample if t.label]
-    if not sample:
+    for (what, key, _), n in sample.items():
+        if what != "token":
+            (chain if what == "chain" else skip)[key[0], key[1]] += n
+    seen = sorted((key, y, n) for (what, key, y), n in sample.items() if what == "token")
+    if not seen:
         weights[-1, OUTSIDE] = 10
         return Field(weights, np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
-    xs, ys = [], []
-    for t in sample:
-        label, near = np.array(t.label), np.flatnonzero(t.chain)
-        # What a base entity's number stands beside without a pattern is unlabelled, not outside.
-        known = np.ones(len(label), dtype=bool)
-        for a, b in t.skip:
-            if (label[a] == OUTSIDE) != (label[b] == OUTSIDE):
-                known[a if label[a] == OUTSIDE else b] = False
-            else:
-                skip[label[a], label[b]] += 1
-                skip[label[b], label[a]] += 1
-        for i, j in [*zip(near - 1, near), *zip(near[::-1], near[::-1] - 1)]:
-            if not known[i] and label[j] == OUTSIDE:
-                known[j] = False
-        near = near[known[near] & known[near - 1]]
-        np.add.at(chain, (label[near - 1], label[near]), 1)
-        xs.append(t.shape[known]), ys.append(label[known])
-    x, y = np.concatenate(xs), np.concatenate(ys)
-    if not len(y):
-        weights[-1, OUTSIDE] = 10
-        return Field(weights, np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
-    target = np.eye(LABELS)[y]
+    x = np.unpackbits(np.frombuffer(b"".join(k for k, _, _ in seen), np.uint8).reshape(len(seen), -1), axis=1)[:, :N_FEATURES].astype(np.float64)
+    target, n = np.eye(LABELS)[[y for _, y, _ in seen]], np.array([float(c) for _, _, c in seen])[:, None]
     past = np.full_like(weights, 1e-8)
     for _ in range(steps):
         raw = x @ weights
         p = np.exp(raw - raw.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        step = x.T @ (p - target) / len(x) + 1e-4 * weights
+        step = x.T @ ((p - target) * n) / n.sum() + 1e-4 * weights
         past += step * step
         weights -= 0.3 * step / np.sqrt(past)
 
@@ -234,27 +311,15 @@ def posterior(t: Tokens, field: Field, rounds: int = ROUNDS) -> np.ndarray:
 def added_spans(text: str, base: list[tuple[int, int, int]], field: Field, sure: float = SURE) -> list[tuple[int, int, int]]:
     """(start, kind, end) of entities the field finds beside the base spans.
 
-    A token is taken only with the support of a base entity: a skip path leads from it
-    to an observed one, or it stands next to a taken token. Tokens of one kind side by
-    side are one span.
+    A token is taken where a label other than outside has a posterior of ``sure``. Tokens
+    of one kind side by side are one span.
     """
-    if not base:
+    if not _ANY.search(text):
         return []
     t = tokens(text, base)
-    if not t.skip:
-        return []
     p = posterior(t, field)
     label, held = p.argmax(1), p.max(1)
-    backed = list(t.observed)
-    for a, b in [*t.skip, *reversed(t.skip)]:
-        backed[a] = backed[b] = backed[a] or backed[b]
-    good = [bool(label[i] != OUTSIDE and held[i] >= sure and not t.observed[i] and backed[i]) for i in range(len(label))]
-    for order in (range(1, len(good)), range(len(good) - 2, -1, -1)):
-        for i in order:
-            j = i - 1 if order.step == 1 else i + 1
-            beside = t.chain[i] if order.step == 1 else t.chain[j]
-            if beside and good[j] and label[i] == label[j] and held[i] >= sure and not t.observed[i]:
-                good[i] = True
+    good = [bool(label[i] != OUTSIDE and held[i] >= sure and not t.observed[i]) for i in range(len(label))]
     spans: list[list[int]] = []
     for i, taken in enumerate(good):
         if not taken:
@@ -283,19 +348,18 @@ def train(docs: DataFrame, doc_id: str, text: str, rows: int = SAMPLE_ROWS) -> F
     def extract(batches):
         for batch in batches:
             for at, to, _, _ in words.chunks(batch.column(1)):
-                found = []
+                found: Counter = Counter()
                 for body in batch.column(1).slice(at, to - at).to_pylist():
-                    t = tokens(body, base_spans(body))
-                    label, n = t.label, SAMPLE_TOKENS
-                    found.append({"shape": t.shape[:n].ravel().tolist(), "label": label[:n], "chain": t.chain[:n],
-                                  "skip": [s for a, b in t.skip if b < n for s in (a, b)]})
-                yield pa.RecordBatch.from_pylist(found, schema=pa.schema([
-                    ("shape", pa.list_(pa.float64())), ("label", pa.list_(pa.int64())), ("chain", pa.list_(pa.bool_())), ("skip", pa.list_(pa.int64()))]))
+                    found.update(learned(tokens(body, base_spans(body))))
+                keys = list(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array([k[2] for k in keys], pa.int32()),
+                    pa.array([found[k] for k in keys], pa.int64())], names=["what", "key", "label", "n"])
 
     # A sort of short rows would be enough, were texts not needed; at most ``rows`` texts pass on.
-    got = chosen.repartition(8).mapInArrow(extract, "shape array<double>, label array<bigint>, chain array<boolean>, skip array<bigint>").collect()
-    got.sort(key=repr)
-    return fit([Tokens([], [], np.array(r["shape"]).reshape(-1, N_FEATURES), r["chain"], list(zip(r["skip"][::2], r["skip"][1::2])), r["label"], []) for r in got])
+    got = (chosen.repartition(8).mapInArrow(extract, "what string, key binary, label int, n bigint")
+           .groupBy("what", "key", "label").agg(F.sum("n").alias("n")).collect())
+    return fit(Counter({(r.what, bytes(r.key), r.label): r.n for r in got}))
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))

@@ -327,6 +327,31 @@ def test_skip_chain_carries_a_label_to_the_same_number(spark):
     assert pii.find_personal_data(frame.limit(0)).count() == 0
 
 
+def test_skip_chain_links_numbers_written_in_several_tokens(spark):
+    rng = random.Random(4)
+
+    def number(*sizes, mark=" "):
+        return mark.join(str(rng.randrange(10 ** (n - 1), 10 ** n)) for n in sizes)
+
+    rows = []
+    for i in range(150):
+        ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+        rows.append((i, f"call +1 {number(3, 3, 4)} now or +1 ({number(3)}) {number(3, 4, mark='-')} then, host {ip} and the "
+                        f"card 4539 1488 0343 6467 of {number(4)} with {number(2)} more and {number(5)} left"))
+    rows += [(200, "call +1 217 555 7713 today. many words later 217 555 7713 again and 1234 more"),
+             (201, "paid by 4539 1488 0343 6467 today. many words later 4539 / 14880343 6467 again"),
+             (202, "host 10.0.0.1 is up. many words later 10.0.0[.]1 again, and 10.0.1 or 1-2-3-4 too")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    links = {i: [tuple(t.split()[0] for t in (text[x.start[a]:x.end[a]], text[x.start[b]:x.end[b]])) for a, b in x.skip]
+             for i, text in rows[-3:] for x in [pii.tokens(text, pii.base_spans(text))]}
+    assert set(links[200]) == {("217", "217"), ("555", "555"), ("7713", "7713")} and links[202] == [("10.0.0.1", "10.0.0[.]1")]
+    assert set(links[201]) == {("1488", "14880343"), ("0343", "14880343"), ("6467", "6467")}
+    found = {r.doc_id: r for r in pii.find_personal_data(frame).where("doc_id >= 200").collect()}
+    assert [(s.kind, found[200].text[s.start:s.end]) for s in found[200].added_spans] == [("phone", "217 555 7713")]
+    assert [(s.kind, found[201].text[s.start:s.end]) for s in found[201].added_spans] == [("card", "14880343 6467")]
+    assert [(s.kind, found[202].text[s.start:s.end]) for s in found[202].added_spans] == [("ip", "10.0.0[.]1")]
+
+
 def test_units(spark):
     line = "The very same line of words stands here."
     rows = [(2, f"{line}\nown words of the second text are here\n{line}"), (1, f"First text begins.  THE very  same line of words stands here. End\nshort"),
