@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import bpe, leaks, minhash, neighbours, pages, pii, quality, repeats, suffix_tree, units
+from keyfold.llm import (
+    bpe, divergence, infill, leaks, minhash, neighbours, pages, pii, quality, repeats, rules, suffix_tree, units,
+)
+from keyfold.llm.oracles import ORACLES as ORACLES
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -80,6 +83,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, *vocabulary())).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op12_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(infill.restored().cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_pages": op1_pages,
     "op2_quality": op2_quality,
@@ -91,6 +110,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_adaptive_rules": op12_adaptive_rules,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
-
-ORACLES: dict[str, str] = {}

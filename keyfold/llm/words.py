@@ -25,8 +25,8 @@ SPACED[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -110,7 +110,7 @@ def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray = SPACED) -> Wo
     after = np.empty(len(data), dtype=bool)
     after[-1], after[:-1] = False, inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    values = _BYTES[_LOWER[data]]
+    values = _BYTES[LOWER[data]]
     values[~inside] = 0
     values *= powers(_BASE, len(data))
     hashed = np.zeros(0, dtype=np.uint64)
