@@ -153,11 +153,15 @@ def thresholds(measured: DataFrame, by: list[str], min_docs: int = MIN_DOCS) ->
     every = F.struct(*RULES).alias("fences")
     own = stored(sketches(measured, by))
     wide = merged(own, by[:1])
-    whole = fences(merged(wide, []), []).select(F.lit(True).alias("_every"), every).withColumnRenamed("fences", "_of_all")
     lang = fences(wide, by[:1]).where(F.col("docs") >= min_docs).select(*by[:1], every).withColumnRenamed("fences", "_of_lang")
-    groups = fences(own, by).select(*by, F.when(F.col("docs") >= min_docs, every).alias("_own"), F.lit(True).alias("_every"))
-    chosen = join_on(groups, lang, by[:1], "left").join(whole, "_every")
-    return chosen.select(*by, F.coalesce("_own", "_of_lang", "_of_all").alias("fences"))
+    groups = fences(own, by).select(*by, F.when(F.col("docs") >= min_docs, every).alias("_own"))
+    # one row: two numbers a rule
+    found = fences(merged(wide, []), []).first()
+    whole = F.lit(None)
+    if found is not None:
+        bound = lambda f, c: F.lit(f[c]).cast("long").alias(c)
+        whole = F.struct(*(F.struct(bound(found[r], "low"), bound(found[r], "high")).alias(r) for r in RULES))
+    return join_on(groups, lang, by[:1], "left").select(*by, F.coalesce("_own", "_of_lang", whole).alias("fences"))
 
 
 def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
