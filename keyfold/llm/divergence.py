@@ -43,19 +43,19 @@ def tagged(data: np.ndarray, bounds: np.ndarray, lang: bytes) -> tuple[np.ndarra
     inside = LETTERS[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1] | edge[1:-1]
-    at = np.flatnonzero(starts)
-    letters = np.flatnonzero(inside)
-    # a term's letters stand together: the first of each by number among all letters
-    first = np.searchsorted(letters, at)
-    size = np.diff(np.append(first, len(letters)))
+    start, end = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1] | edge[1:-1]
+    end[:-1] &= ~inside[1:] | edge[1:-1]
+    at = np.flatnonzero(start)
     head = np.frombuffer(lang + b"\0", dtype=np.uint8)
-    offsets = np.concatenate([[0], np.cumsum(size + len(head))])
-    body = np.empty(int(offsets[-1]), dtype=np.uint8)
-    for i, byte in enumerate(head):
-        body[offsets[:-1] + i] = byte
-    body[np.arange(len(letters)) + np.repeat(np.arange(1, len(at) + 1) * len(head), size)] = words.LOWER[data[letters]]
+    offsets = np.zeros(len(at) + 1, dtype=np.int32)
+    np.cumsum(np.flatnonzero(end) + (1 + len(head)) - at, out=offsets[1:])
+    tag = np.zeros(offsets[-1], dtype=bool)
+    for i in range(len(head)):
+        tag[offsets[:-1] + i] = True
+    body = np.empty(len(tag), dtype=np.uint8)
+    body[tag] = np.tile(head, len(at))
+    body[~tag] = words.LOWER[data[inside]]
     return body, offsets, np.diff(np.searchsorted(at, bounds))
 
 
@@ -70,7 +70,7 @@ def terms(docs: DataFrame) -> DataFrame:
                 cut = [0, *(np.flatnonzero(langs[1:] != langs[:-1]) + 1).tolist(), to - at]
                 for i, j in zip(cut, cut[1:]):
                     body, offsets, count = tagged(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], langs[i].encode())
-                    strings = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(body))
+                    strings = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(body))
                     lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(count)]).astype(np.int32), strings)
                     yield pa.RecordBatch.from_arrays([batch.column(1).slice(at + i, j - i), lists], names=["source", "terms"])
 
@@ -98,30 +98,30 @@ def _blocks(docs: DataFrame, min_docs: int, block_terms: int) -> int:
     return max(1, -(-kept * SLICES // block_terms))
 
 
-def _sums(rows: DataFrame, min_docs: int) -> DataFrame:
-    """(source, lang, term, n) of the terms in at least ``min_docs`` rows: documents to sparse vectors to sums."""
+def _sums(rows: DataFrame, min_docs: int, block: int) -> DataFrame:
+    """(id, source, lang, term, n) of the terms in at least ``min_docs`` rows: documents to sparse vectors to sums."""
     spark = rows.sparkSession
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(rows)
     path = f"{shared_dir(spark)}/vocabulary-{uuid.uuid4().hex}"
     model.write().save(path)
-    names = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "name"))
     vector = F.unwrap_udt("vector")
     entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("value"))))
     sums = entries.groupBy("source", "index").agg(F.sum("value").cast("long").alias("n"))
     # A term holds no zero byte, so the last one ends the language.
-    cut = F.length("name") - F.instr(F.reverse("name"), "\0")
-    named = sums.join(names, "index").select("source", F.substring("name", F.lit(1), cut).alias("lang"),
-                                             F.substring_index("name", "\0", -1).alias("term"), "n")
-    return stored(named)
+    names = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "name")).select(
+        "index", F.substring("name", F.lit(1), F.length("name") - F.instr(F.reverse("name"), "\0")).alias("lang"),
+        F.substring_index("name", "\0", -1).alias("term"))
+    number = (F.lit(block).cast("long") * F.lit(1 << 32) + F.col("index")).alias("id")
+    return stored(sums.join(names, "index").select(number, "source", "lang", "term", "n"))
 
 
 def group_sums(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 10,
                block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """Occurrences (lang, source, term, n) of every term in at least ``min_docs`` documents of its language."""
+    """Occurrences (id, lang, source, term, n) of every term in at least ``min_docs`` documents of its language."""
     rows = _rows(docs, lang, source, text)
     blocks, rows = _blocks(rows, min_docs, block_terms), terms(rows)
     if blocks == 1:
-        return _sums(rows, min_docs)
+        return _sums(rows, min_docs, 0)
     # One table of terms by block; inside it a document is rebuilt from its number.
     path = f"{shared_dir(docs.sparkSession)}/terms-{uuid.uuid4().hex}"
     (rows.withColumn("doc", F.monotonically_increasing_id()).select("doc", "source", F.explode("terms").alias("term"))
@@ -131,7 +131,7 @@ def group_sums(docs: DataFrame, lang: str = "lang", source: str = "source", text
     for block in range(blocks):
         part = (docs.sparkSession.read.parquet(path).where(F.col("block") == block)
                 .groupBy("doc", "source").agg(F.collect_list("term").alias("terms")).drop("doc"))
-        sums = _sums(part, min_docs)
+        sums = _sums(part, min_docs, block)
         every = sums if every is None else every.unionByName(sums)
     return every
 
@@ -140,11 +140,11 @@ def _rows(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
     return docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))))
 
 
-def _share(n, total, kept) -> Column:
-    """1 + floor(SCALE * (n + 2) / (total + 2 * kept)) in exact integers."""
-    top = (F.col(n) if isinstance(n, str) else F.lit(n)).cast("decimal(27,0)") + 2
-    return F.call_function("div", top.cast("decimal(28,0)") * F.lit(SCALE).cast("decimal(10,0)"),
-                           (F.col(total) + 2 * F.col(kept)).cast("decimal(20,0)")) + 1
+def _share(n: str, total: str, kept: str) -> Column:
+    """1 + floor(SCALE * (n + 2) / (total + 2 * kept)), in wider integers where a count needs them."""
+    below = f"({total} + 2 * {kept})"
+    wide = f"(cast({n} + 2 as decimal(28,0)) * cast({SCALE} as decimal(10,0))) div cast({below} as decimal(20,0))"
+    return F.expr(f"1 + case when {n} < 9000000000 then ({SCALE} * ({n} + 2L)) div {below} else {wide} end")
 
 
 def _apart(p: str, q: str) -> str:
@@ -166,42 +166,47 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     used, whatever their names.
     """
     sums = group_sums(docs, lang, source, text, min_docs, block_terms)
-    groups = _rows(docs, lang, source, text).select("lang", "source").distinct()
-    by_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    lang_stats = by_lang.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
-    group_stats = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-    # one row per group: small beside the documents, and read several times
-    stats = stored(groups.join(group_stats, ["lang", "source"], "left").join(lang_stats, "lang", "left")
-                   .na.fill(0, ["total", "own", "kept", "lang_total"])
-                   .withColumn("p0", F.when(F.col("kept") > 0, _share(0, "total", "kept"))))
-    shares = sums.join(stats, ["lang", "source"]).withColumn("p", _share("n", "total", "kept"))
+    totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
+    lang_totals = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
+    kept = sums.select("id", "lang").distinct().groupBy("lang").agg(F.count("*").alias("kept"))
+    # One row per group: small beside the documents, and read several times.
+    stats = stored(_rows(docs, lang, source, text).select("lang", "source").distinct()
+                   .join(totals, ["lang", "source"], "left").join(lang_totals, "lang", "left").join(kept, "lang", "left")
+                   .na.fill(0, ["total", "own", "kept", "lang_total"]).withColumn("none", F.lit(0).cast("long"))
+                   .withColumn("p0", F.when(F.col("kept") > 0, _share("none", "total", "kept")))
+                   .withColumn("group", F.monotonically_increasing_id()).drop("none"))
+    # Terms with their groups side by side: as many entries as the language has sources, at most.
+    shares = (sums.join(stats, ["lang", "source"])
+              .select("id", "lang", "term", "group", "n", _share("n", "total", "kept").alias("p"), "p0", "lang_total", "kept"))
+    by_term = stored(shares.groupBy("id").agg(
+        F.first("term").alias("term"), F.sum("n").alias("lang_n"), F.first("lang_total").alias("lang_total"), F.first("kept").alias("kept"),
+        F.array_sort(F.collect_list(F.struct("group", "p", "p0"))).alias("cells")))
 
     ranked = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
-    telling = (shares.join(by_lang, ["lang", "term"]).withColumn("q", _share("lang_n", "lang_total", "kept")).where("p > q")
-               .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), F.expr(_apart("p", "q")).alias("value"))
-               .withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top))
-
-    # A term of one group alone meets the share of an absent term; groups hold few distinct counts.
-    own = shares.groupBy("lang", "source", "p").agg(F.count("*").alias("times"))
-    other = stats.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"))
-    one_sided = (own.join(other, "lang").where("source <> item")
-                 .groupBy("lang", "source", "item").agg(F.sum(F.col("times") * F.expr(_apart("p", "q0"))).alias("one_sided")))
-    left = shares.select("lang", "term", "source", "p", "p0")
-    right = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0"))
-    both = (left.join(right, ["lang", "term"]).where("source < item")
-            .groupBy("lang", "source", "item")
-            .agg(F.sum(F.expr(f"{_apart('p', 'q')} - {_apart('p', 'q0')} - {_apart('p0', 'q')} + {_apart('p0', 'q0')}")).alias("both")))
-    near, far = F.least("source", "item"), F.greatest("source", "item")
-    theirs = stats.select("lang", F.col("source").alias("item"), F.col("own").alias("their_own"), F.col("p0").alias("q0"))
-    pairs = stats.join(theirs, "lang").where("source <> item").select(
-        "lang", "source", "item", near.alias("near"), far.alias("far"),
-        F.when(F.col("kept") > 0, (F.col("kept") - F.col("own") - F.col("their_own")) * F.expr(_apart("p0", "q0"))).otherwise(0).alias("absent"))
-    distance = (pairs
-                .join(both.select("lang", F.col("source").alias("near"), F.col("item").alias("far"), "both"), ["lang", "near", "far"], "left")
-                .join(one_sided, ["lang", "source", "item"], "left")
-                .join(one_sided.select("lang", F.col("source").alias("item"), F.col("item").alias("source"), F.col("one_sided").alias("reverse")),
-                      ["lang", "source", "item"], "left")
+    used_more = by_term.select("term", _share("lang_n", "lang_total", "kept").alias("q"), F.inline("cells")).where("p > q")
+    telling = (used_more.select("group", F.col("term").alias("item"), F.expr(_apart("p", "q")).alias("value"))
+               .join(stats.select("lang", "source", "group"), "group")
+               .withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+               .select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank"))
+
+    # What only one group has meets the share of an absent term; groups hold few distinct counts.
+    cells = by_term.select("cells", F.posexplode("cells").alias("at", "a"))
+    own = cells.groupBy(F.col("a.group").alias("group"), F.col("a.p").alias("p")).agg(F.count("*").alias("times"))
+    named = stats.select("lang", "group", "own", "p0", "kept")
+    other = stats.select("lang", F.col("group").alias("other"), F.col("source").alias("item"), F.col("own").alias("other_own"), F.col("p0").alias("q0"))
+    one_sided = (own.join(stats.select("group", "lang"), "group").join(other, "lang").where("group <> other")
+                 .groupBy("group", "other").agg(F.sum(F.col("times") * F.expr(_apart("p", "q0"))).alias("one_sided")))
+    pair = cells.select("a", F.explode(F.slice("cells", F.col("at") + 2, F.size("cells"))).alias("b"))
+    gain = f"{_apart('a.p', 'b.p')} - {_apart('a.p', 'b.p0')} - {_apart('a.p0', 'b.p')} + {_apart('a.p0', 'b.p0')}"
+    both = (pair.groupBy(F.col("a.group").alias("near"), F.col("b.group").alias("far"))
+            .agg(F.sum(F.expr(gain)).alias("both")))
+    absent = F.when(F.col("kept") > 0, (F.col("kept") - F.col("own") - F.col("other_own")) * F.expr(_apart("p0", "q0"))).otherwise(0)
+    reverse = one_sided.select(F.col("group").alias("other"), F.col("other").alias("group"), F.col("one_sided").alias("reverse"))
+    distance = (named.join(other, "lang").where("group <> other")
+                .withColumns({"near": F.least("group", "other"), "far": F.greatest("group", "other"), "absent": absent})
+                .join(both, ["near", "far"], "left").join(one_sided, ["group", "other"], "left").join(reverse, ["group", "other"], "left")
                 .na.fill(0, ["both", "one_sided", "reverse"])
+                .join(stats.select("group", "source"), "group")
                 .select("lang", "source", F.lit("pair").alias("part"), "item",
                         (F.col("absent") + F.col("both") + F.col("one_sided") + F.col("reverse")).cast("long").alias("value"))
                 .withColumn("rank", F.row_number().over(ranked)))

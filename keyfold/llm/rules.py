@@ -158,7 +158,7 @@ def thresholds(measured: DataFrame, by: list[str], min_docs: int = MIN_DOCS) ->
     # one row: two numbers a rule
     found = fences(merged(wide, []), []).first()
     whole = F.lit(None)
-    if found is not None:
+    if found["docs"] is not None:
         bound = lambda f, c: F.lit(f[c]).cast("long").alias(c)
         whole = F.struct(*(F.struct(bound(found[r], "low"), bound(found[r], "high")).alias(r) for r in RULES))
     return join_on(groups, lang, by[:1], "left").select(*by, F.coalesce("_own", "_of_lang", whole).alias("fences"))
