@@ -1,139 +1,93 @@
 """How far the sources of a language differ in their words, in exact integers.
 
-A count vectorizer with a least number of documents and no limit of its own on the
-vocabulary turns each document into a sparse vector; vectors are summed per (lang,
+Documents become sparse count vectors; the vocabulary of a language is every term in
+at least ``min_docs`` of its documents, of any number (a count vectorizer with a least
+document frequency and the largest possible vocabulary). Vectors are summed per (lang,
 source), and sums are compared pair by pair over the words both have. What only one
 has, or none, enters by counts of counts, so nothing is as long as the vocabulary
 times the sources.
 
-Terms carry their language, so one fit serves all languages. The vectorizer keeps its
-vocabulary on the driver and sends it to the tasks: vocabularies above
-``block_terms`` are fitted in blocks of terms by hash, one after the other, each
-over its own part of a table of terms written once.
+Terms stand for themselves: no vocabulary is numbered, collected or sent to tasks.
+Vectors are summed inside each task before they are shuffled, with the number of their
+documents, so one pass over the texts gives counts and document frequencies alike.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfold.llm import words
 from keyfold.llm.placed import stored
-from keyfold.session import shared_dir
-
-#: Terms of one fit: some 100 MB on the driver.
-BLOCK_TERMS = 1 << 20
-#: No limit: the largest integer the vectorizer takes.
-ALL_TERMS = 2**31 - 1
-#: One of so many terms is counted ahead, to choose the number of blocks.
-SLICES = 64
+
+#: Bytes of text whose vectors are summed at once inside a task.
+CHUNK_BYTES = 8 << 20
 SCALE = 1_000_000_000
 #: Bytes of terms: ASCII letters, and all above ASCII.
 LETTERS = np.zeros(256, dtype=bool)
 LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
 
 
-def tagged(data: np.ndarray, bounds: np.ndarray, lang: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Terms of consecutive texts, each after ``lang`` and a zero byte: their bytes, offsets, and how many each text has."""
-    inside = LETTERS[data]
-    edge = np.zeros(len(data) + 1, dtype=bool)
-    edge[bounds] = True
-    start, end = inside.copy(), inside.copy()
-    start[1:] &= ~inside[:-1] | edge[1:-1]
-    end[:-1] &= ~inside[1:] | edge[1:-1]
-    at = np.flatnonzero(start)
-    head = np.frombuffer(lang + b"\0", dtype=np.uint8)
-    offsets = np.zeros(len(at) + 1, dtype=np.int32)
-    np.cumsum(np.flatnonzero(end) + (1 + len(head)) - at, out=offsets[1:])
-    tag = np.zeros(offsets[-1], dtype=bool)
-    for i in range(len(head)):
-        tag[offsets[:-1] + i] = True
-    body = np.empty(len(tag), dtype=np.uint8)
-    body[tag] = np.tile(head, len(at))
-    body[~tag] = words.LOWER[data[inside]]
-    return body, offsets, np.diff(np.searchsorted(at, bounds))
-
-
-def terms(docs: DataFrame) -> DataFrame:
-    """(source, terms) from rows of lang, source and text: letter runs, A-Z in lower case, tagged with the language."""
+def vectors(data: np.ndarray, bounds: np.ndarray):
+    """Sparse vectors of consecutive texts: text number, term (number of a word) and count of each entry, and the words.
+
+    Equal words of a text are found by 64-bit hashes.
+    """
+    found = words.words(data, bounds, LETTERS)
+    order = np.lexsort((found.hash, found.doc))
+    doc, term = found.doc[order], found.hash[order]
+    first = np.ones(len(order), dtype=bool)
+    first[1:] = (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])
+    at = np.flatnonzero(first)
+    return doc[at], order[at], np.diff(np.append(at, len(order))), found
 
-    def run(batches):
-        for batch in batches:
-            for at, to, data, bounds in words.chunks(batch.column(2)):
-                langs = batch.column(0).slice(at, to - at).to_numpy(zero_copy_only=False)
-                # runs of rows of one language share a tag
-                cut = [0, *(np.flatnonzero(langs[1:] != langs[:-1]) + 1).tolist(), to - at]
-                for i, j in zip(cut, cut[1:]):
-                    body, offsets, count = tagged(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], langs[i].encode())
-                    strings = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(body))
-                    lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(count)]).astype(np.int32), strings)
-                    yield pa.RecordBatch.from_arrays([batch.column(1).slice(at + i, j - i), lists], names=["source", "terms"])
 
-    return docs.mapInArrow(run, "source string, terms array<string>")
+def spelled(found: words.Words, which: np.ndarray) -> pa.Array:
+    """Some of the words as strings, A-Z in lower case."""
+    start, size = found.start[which], found.end[which] - found.start[which]
+    offsets = np.zeros(len(which) + 1, dtype=np.int32)
+    np.cumsum(size, out=offsets[1:])
+    body = words.LOWER[found.data[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)]]
+    return pa.StringArray.from_buffers(len(which), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(body)))
 
 
-def _blocks(docs: DataFrame, min_docs: int, block_terms: int) -> int:
-    """So many blocks that each keeps about ``block_terms`` terms at most, by a slice of all terms."""
+def _partial_sums(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): vectors summed over a chunk of rows; several rows a term."""
 
     def run(batches):
         for batch in batches:
-            tag = batch.column(0).to_numpy().view(np.uint64)
-            for at, _, data, bounds in words.chunks(batch.column(1)):
-                found = words.words(data, bounds, LETTERS)
-                own = found.hash % np.uint64(SLICES) == 0
-                doc, term = found.doc[own], words.pair(tag[at + found.doc[own]], found.hash[own])
-                order = np.lexsort((term, doc))
-                doc, term = doc[order], term[order]
-                first = np.ones(len(doc), dtype=bool)
-                first[1:] = (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(term[first].view(np.int64))], names=["t"])
-
-    rows = docs.select(F.xxhash64("lang"), "text").mapInArrow(run, "t bigint")
-    kept = rows.groupBy("t").count().where(F.col("count") >= min_docs).count()
-    return max(1, -(-kept * SLICES // block_terms))
-
-
-def _sums(rows: DataFrame, min_docs: int, block: int) -> DataFrame:
-    """(id, source, lang, term, n) of the terms in at least ``min_docs`` rows: documents to sparse vectors to sums."""
-    spark = rows.sparkSession
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=ALL_TERMS).fit(rows)
-    path = f"{shared_dir(spark)}/vocabulary-{uuid.uuid4().hex}"
-    model.write().save(path)
-    vector = F.unwrap_udt("vector")
-    entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("value"))))
-    sums = entries.groupBy("source", "index").agg(F.sum("value").cast("long").alias("n"))
-    # A term holds no zero byte, so the last one ends the language.
-    names = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "name")).select(
-        "index", F.substring("name", F.lit(1), F.length("name") - F.instr(F.reverse("name"), "\0")).alias("lang"),
-        F.substring_index("name", "\0", -1).alias("term"))
-    number = (F.lit(block).cast("long") * F.lit(1 << 32) + F.col("index")).alias("id")
-    return stored(sums.join(names, "index").select(number, "source", "lang", "term", "n"))
-
-
-def group_sums(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 10,
-               block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """Occurrences (id, lang, source, term, n) of every term in at least ``min_docs`` documents of its language."""
-    rows = _rows(docs, lang, source, text)
-    blocks, rows = _blocks(rows, min_docs, block_terms), terms(rows)
-    if blocks == 1:
-        return _sums(rows, min_docs, 0)
-    # One table of terms by block; inside it a document is rebuilt from its number.
-    path = f"{shared_dir(docs.sparkSession)}/terms-{uuid.uuid4().hex}"
-    (rows.withColumn("doc", F.monotonically_increasing_id()).select("doc", "source", F.explode("terms").alias("term"))
-     .withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
-     .repartition("block", F.pmod("doc", F.lit(64))).write.partitionBy("block").parquet(path))
-    every = None
-    for block in range(blocks):
-        part = (docs.sparkSession.read.parquet(path).where(F.col("block") == block)
-                .groupBy("doc", "source").agg(F.collect_list("term").alias("terms")).drop("doc"))
-        sums = _sums(part, min_docs, block)
-        every = sums if every is None else every.unionByName(sums)
-    return every
+            for at, to, data, bounds in words.chunks(batch.column(2), CHUNK_BYTES):
+                part = batch.slice(at, to - at)
+                tag = part.column(3).to_numpy()
+                _, group = np.unique(tag, return_inverse=True)
+                doc, which, count, found = vectors(data, bounds)
+                if not len(doc):
+                    continue
+                of, term = group[doc], found.hash[which]
+                order = np.lexsort((term, of))
+                of, term = of[order], term[order]
+                first = np.ones(len(order), dtype=bool)
+                first[1:] = (of[1:] != of[:-1]) | (term[1:] != term[:-1])
+                cut = np.flatnonzero(first)
+                rows = pa.array(doc[order[cut]])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(rows), part.column(1).take(rows), spelled(found, which[order[cut]]),
+                     pa.array(np.add.reduceat(count[order], cut)), pa.array(np.diff(np.append(cut, len(order))))],
+                    names=["lang", "source", "term", "n", "docs"])
+
+    tagged = docs.select("lang", "source", "text", F.xxhash64("lang", "source"))
+    return tagged.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
+
+
+def group_sums(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 10) -> DataFrame:
+    """Occurrences (lang, source, term, n) of every term in at least ``min_docs`` documents of its language."""
+    sums = (_partial_sums(_rows(docs, lang, source, text)).groupBy("lang", "source", "term")
+            .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    # a term has as many entries as its language has sources, at most
+    by_term = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("cells"))
+    return by_term.where(F.col("docs") >= min_docs).select("lang", "term", F.inline("cells"))
 
 
 def _rows(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
@@ -151,8 +105,8 @@ def _apart(p: str, q: str) -> str:
     return f"((({p}) - ({q})) * (({p}) - ({q}))) div (({p}) + ({q}))"
 
 
-def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 10, top: int = 10,
-          block_terms: int = BLOCK_TERMS) -> DataFrame:
+def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 10,
+          top: int = 10) -> DataFrame:
     """(lang, source, part, item, value, rank): distances to the other sources of the language, and telling terms.
 
     Shares ``p`` of terms are smoothed by 2 and scaled to 10**9; two shares differ by
@@ -165,10 +119,10 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     row is a document of its own. An empty table gives no rows. Other columns are not
     used, whatever their names.
     """
-    sums = group_sums(docs, lang, source, text, min_docs, block_terms)
+    sums = stored(group_sums(docs, lang, source, text, min_docs))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     lang_totals = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
-    kept = sums.select("id", "lang").distinct().groupBy("lang").agg(F.count("*").alias("kept"))
+    kept = sums.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("kept"))
     # One row per group: small beside the documents, and read several times.
     stats = stored(_rows(docs, lang, source, text).select("lang", "source").distinct()
                    .join(totals, ["lang", "source"], "left").join(lang_totals, "lang", "left").join(kept, "lang", "left")
@@ -177,9 +131,9 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
                    .withColumn("group", F.monotonically_increasing_id()).drop("none"))
     # Terms with their groups side by side: as many entries as the language has sources, at most.
     shares = (sums.join(stats, ["lang", "source"])
-              .select("id", "lang", "term", "group", "n", _share("n", "total", "kept").alias("p"), "p0", "lang_total", "kept"))
-    by_term = stored(shares.groupBy("id").agg(
-        F.first("term").alias("term"), F.sum("n").alias("lang_n"), F.first("lang_total").alias("lang_total"), F.first("kept").alias("kept"),
+              .select("lang", "term", "group", "n", _share("n", "total", "kept").alias("p"), "p0", "lang_total", "kept"))
+    by_term = stored(shares.groupBy("lang", "term").agg(
+        F.sum("n").alias("lang_n"), F.first("lang_total").alias("lang_total"), F.first("kept").alias("kept"),
         F.array_sort(F.collect_list(F.struct("group", "p", "p0"))).alias("cells")))
 
     ranked = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")

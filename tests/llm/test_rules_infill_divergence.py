@@ -61,9 +61,9 @@ def brute_audit(rows, min_docs, top):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block_terms", [1 << 20, 40])
-def test_audit_is_exact(docs, rows, block_terms):
-    got = sorted(tuple(r) for r in divergence.audit(docs, min_docs=5, block_terms=block_terms).collect())
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_audit_is_exact(docs, rows, partitions):
+    got = sorted(tuple(r) for r in divergence.audit(docs.repartition(partitions), min_docs=5).collect())
     assert got == brute_audit(rows, 5, 10)
 
 
@@ -73,12 +73,12 @@ def test_audit_without_kept_terms_or_rows(docs, rows):
     assert divergence.audit(docs.limit(0)).count() == 0
 
 
-def test_tagged_terms():
-    data = np.frombuffer("Aé1b_C".encode() + b"dd", np.uint8)
-    body, offsets, count = divergence.tagged(data, np.array([0, 3, 7, 9]), b"en")
-    found = [body[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-    assert found == [b"en\0a\xc3\xa9", b"en\0b", b"en\0c", b"en\0dd"] and count.tolist() == [1, 2, 1]
-    assert divergence.tagged(np.zeros(0, np.uint8), np.array([0, 0]), b"")[2].tolist() == [0]
+def test_vectors_of_documents():
+    texts = ["Aé1b_C b", "", "dd DD d", "1 2"]
+    data, bounds = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0] + [len(t.encode()) for t in texts])
+    doc, which, count, found = divergence.vectors(data, bounds)
+    got = sorted(zip(doc.tolist(), divergence.spelled(found, which).to_pylist(), count.tolist()))
+    assert got == [(0, "aé", 1), (0, "b", 2), (0, "c", 1), (2, "d", 1), (2, "dd", 2)]
 
 
 def brute_counts(text):
