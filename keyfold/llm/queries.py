@@ -69,7 +69,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = units.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=1)
+    found = units.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"), headings=True)
     return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), "removed",
                         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 

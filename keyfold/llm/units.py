@@ -1,7 +1,11 @@
 """Repeated lines: every unit of text is hashed, one occurrence of each is kept.
 
-A unit is a line, cut after each sentence end inside it: a mark with a blank after it, or
-a full-width mark, with what closes a quotation, where scripts need no blank. Units are compared after
+Lines are cut after each sentence end inside them: a mark with a blank after it, or a
+full-width mark, with what closes a quotation, where scripts need no blank. A piece of five
+words or more is a unit. Shorter pieces of a line that follow each other are joined until
+they have five words; what is left over is prose that texts share by chance and stays. With
+``headings`` a short line that does not end like a sentence (an entry of a menu) is a unit
+as it is. In scripts without blanks each character counts as a word. Units are compared after
 lower-casing and joining their words with single spaces. Of equal units the one of
 the smallest document, then the earliest in it, stays; the others are removed.
 Digests have 128 bits: equal digests are taken as equal units.
@@ -36,11 +40,47 @@ def units(text: str | None):
         yield at, len(text), text[at:]
 
 
-def digest(unit: str, min_words: int) -> tuple[int, int] | None:
-    found = unit.lower().split()
-    if len(found) < min_words:
-        return None
-    h = xxhash.xxh3_128_intdigest(" ".join(found).encode("utf-8", "surrogatepass"))
+#: Characters that are words of their own: scripts written without blanks.
+_DENSE = re.compile("[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]")
+_SENTENCE_END = re.compile(rf"[.!?؟۔।॥။።。！？｡．][{_CLOSE}\"')\]]*\s*$")
+
+
+def size(piece: str) -> int:
+    """Words of a piece, characters of dense scripts counted each."""
+    return len(piece.split()) + (0 if piece.isascii() else len(_DENSE.findall(piece)))
+
+
+def judged(text: str | None, min_words: int, headings: bool = True):
+    """(start, end, words or not enough) of each piece, short neighbours in a line joined."""
+    text = text or ""
+    short: list[int] | None = None  # start, end, words of a run of short pieces
+    before = -1
+    for start, end, piece in units(text):
+        opens = before < 0 or "\n" in text[before:start]
+        if opens and short:
+            yield short[0], short[1], False
+            short = None
+        n = size(piece)
+        closes = end == len(text) or text[end] == "\n"
+        if n >= min_words:
+            if short:
+                yield short[0], short[1], False
+                short = None
+            yield start, end, True
+        elif headings and opens and closes and not _SENTENCE_END.search(piece):
+            yield start, end, bool(piece.split())
+        else:
+            short = [short[0], end, short[2] + n] if short else [start, end, n]
+            if short[2] >= min_words:
+                yield short[0], short[1], True
+                short = None
+        before = end
+    if short:
+        yield short[0], short[1], False
+
+
+def digest(unit: str) -> tuple[int, int]:
+    h = xxhash.xxh3_128_intdigest(" ".join(unit.lower().split()).encode("utf-8", "surrogatepass"))
     return (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
 
 
@@ -58,10 +98,10 @@ def cut(text: str | None, spans) -> str:
     return "".join(out) + text[at:]
 
 
-def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
+def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, headings: bool = False) -> DataFrame:
     """``docs`` with n_units, removed (start, end in code points of the text as given) and kept_text.
 
-    Units of fewer than ``min_words`` words are kept. Rows with equal id and text are
+    Pieces that are no units (above) are kept. ``n_units`` counts pieces, however short. Rows with equal id and text are
     one document and get the same result, so a repeated row removes nothing from
     itself. A null id ranks first; a null or empty text has no units and stays
     as it is. Columns of ``docs`` with the three names are replaced.
@@ -78,9 +118,9 @@ def dedup_units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
                 part = batch.slice(at, to - at)
                 rows, h1, h2, start, end = [], [], [], [], []
                 for i, body in enumerate(part.column(2).to_pylist()):
-                    for a, b, unit in units(body):
-                        d = digest(unit, min_words)
-                        if d is not None:
+                    for a, b, counts in judged(body, min_words, headings):
+                        if counts:
+                            d = digest(body[a:b])
                             rows.append(i), h1.append(d[0]), h2.append(d[1]), start.append(a), end.append(b)
                 rows = pa.array(np.array(rows, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(

@@ -374,6 +374,50 @@ def test_units_of_few_words_and_without_spaces(spark, tmp_path):
     assert [u[2] for u in units.units("一。二？」 三．四 Five. Six ３．１４")] == ["一。", "二？」", "三．", "四 Five.", "Six ３．１４"]
 
 
+def brute_units(text):
+    """Pieces of each line as (start, end, is a unit), by the letter of the rule."""
+    out, base = [], 0
+    dense = re.compile("[\u0e00-\u0eff\u2e80-\u9fff]")
+    for line in (text or "").split("\n"):
+        pieces = [(base + a, base + b) for a, b, _ in units.units(line)]
+        words = [len(text[a:b].split()) + len(dense.findall(text[a:b])) for a, b in pieces]
+        i = 0
+        while i < len(pieces):
+            if words[i] >= 5:
+                out.append((*pieces[i], True))
+                i += 1
+            elif len(pieces) == 1 and text[pieces[0][0]:pieces[0][1]].strip()[-1:] not in list(".!?。！？．"):
+                out.append((*pieces[0], bool(text[pieces[0][0]:pieces[0][1]].split())))
+                i += 1
+            else:
+                j, n = i, 0
+                while j < len(pieces) and words[j] < 5 and n < 5:
+                    n, j = n + words[j], j + 1
+                out.append((pieces[i][0], pieces[j - 1][1], n >= 5))
+                i = j
+        base += len(line) + 1
+    return out
+
+
+def test_unit_dedup_equals_brute_force(spark):
+    rng = random.Random(12)
+    parts = ["Short one. ", "A longer sentence with many words. ", "Menu", "Of.", "\n", "\n", "\n", "今日は天気がとても良い。", "終わり", "Why? ", "No!! ", " ",
+             "three words here ", "and a piece without its end "]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 14)))) for i in range(120)]
+    rows += [(200, None), (201, ""), rows[3], rows[3], (202, "A longer sentence with many words. " * 20_000)]
+    got = units.dedup_units(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, removed string").repartition(4), headings=True).collect()
+    seen, want = {}, {}
+    for i, t in sorted(set(rows), key=lambda r: (r[0], r[1] or "")):
+        assert list(units.judged(t, 5)) == brute_units(t)
+        for a, b, ok in brute_units(t):
+            if ok and seen.setdefault(" ".join(t[a:b].lower().split()), (i, a)) != (i, a):
+                want.setdefault(i, []).append((a, b))
+    assert len(got) == len(rows)
+    assert {r.doc_id: [tuple(s) for s in r.removed] for r in got if r.removed} == want
+    assert all(r.kept_text == (None if r.text is None else units.cut(r.text, want.get(r.doc_id, []))) for r in got)
+    assert units.dedup_units(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_neighbours_recall_and_ties(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(700, 24)) * rng.uniform(0.5, 2, size=(700, 1))
