@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from keyfold.session import materialize, shared_dir
 
@@ -24,6 +25,12 @@ def placed(df: DataFrame, *columns: str) -> DataFrame:
         conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so once their handles are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """A Parquet table in the shared folder: smaller than a checkpoint, and as safe."""
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm import words
-from keyfold.llm.placed import placed
+from keyfold.llm.placed import placed, release
 from keyfold.session import materialize
 
 KEEP = 3.0
@@ -218,8 +218,11 @@ def _totals(asked: DataFrame) -> DataFrame:
                          "total": pa.array([int(exact.sum()) if kind == _ONE else 0] + [0] * (size - 1), pa.int64()),
                          "distinct": pa.array([int((exact > 0).sum()) if kind == _ONE else 0] + [0] * (size - 1), pa.int64())})
 
-    return materialize(asked.groupBy("kind", "part").applyInArrow(
+    totals = materialize(asked.groupBy("kind", "part").applyInArrow(
         run, "block bigint, kind int, part int, answer binary, total bigint, distinct bigint"))
+    del asked
+    release(totals.sparkSession)  # the questions are answered: their shuffle is the largest there is
+    return totals
 
 
 def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
