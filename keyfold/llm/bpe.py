@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from keyfold.llm import words
 
-#: Distinct pieces whose ids a Python worker keeps; the table is emptied when full.
-KEPT_PIECES = 500_000
-KEPT_PAIRS = 1_000_000
+#: Distinct pieces whose ids a Python worker keeps, some 40 MB, and pairs of tokens, some
+#: 40 MB more. A table is emptied when full.
+KEPT_PIECES = 150_000
+KEPT_PAIRS = 200_000
 _NEVER = 1 << 62
 
 
