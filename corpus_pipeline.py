@@ -17,14 +17,25 @@ from keyfold.session import shared_dir
 
 
 def _carried(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns a stage works on, beside all columns in one struct."""
-    return docs.select(F.struct("*").alias("_all"), *columns)
+    """The columns a stage works on, beside all others in one struct: no text travels twice."""
+    rest = [c for c in docs.columns if c not in columns]
+    return docs.select(F.struct(*rest).alias("_rest") if rest else F.lit(True).alias("_rest"), *columns)
+
+
+def _whole(found: DataFrame, docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return found.select(*((F.col(c) if c in columns else F.col("_rest")[c].alias(c)) for c in docs.columns))
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality classifier rejects."""
-    scored = quality.score_quality(_carried(docs, "doc_id", "text", "n_chars"), table(spark, sf_dir, "labels"), length="n_chars")
-    return scored.where(F.col("score") >= GOOD).select("_all.*")
+    """Drops documents that the quality classifier rejects.
+
+    Null and empty texts are scored like any other; repeated rows stay or go together.
+    Rows without an id are scored too, and never learned from. An empty table stays empty.
+    """
+    used = ["doc_id", "text", "n_chars"]
+    scored = quality.score_quality(_carried(docs, *used), table(spark, sf_dir, "labels"), length="n_chars")
+    return _whole(scored.where(F.col("score") >= GOOD), docs, *used)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,20 +49,24 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of the benchmark."""
+    """Drops documents that hold a passage of the benchmark. Null and empty texts hold none and stay."""
     found = leaks.find_leaks(_carried(docs, "text"), table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("hit_runs") == 0).select("_all.*")
+    return _whole(found.where(F.size("hit_runs") == 0), docs, "text")
 
 
 def private_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the kind in brackets in place of personal data; n_chars follows the text."""
-    found = pii.redact(pii.all_spans(pii.find_personal_data(_carried(docs, "doc_id", "text"))))
-    changed = {"text": F.col("text"), "n_chars": F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("_all.n_chars"))}
-    return found.select(*((changed[c] if c in changed else F.col("_all")[c]).alias(c) for c in docs.columns))
+    """Puts the kind in brackets in place of personal data; n_chars follows a text that changed.
+
+    Null and empty texts stay as they are; repeated rows change alike.
+    """
+    used = ["doc_id", "text", "n_chars"]
+    found = pii.redact(pii.all_spans(pii.find_personal_data(_carried(docs, *used))))
+    length = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return _whole(found.withColumn("n_chars", length), docs, *used)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and what they decode to as a digest."""
+    """Token ids of each text, and what they decode to as a digest; a null or empty text has none."""
     encoded = bpe.digests(bpe.encode_decode(docs.select("doc_id", "text", "lang", "source"), *vocabulary()))
     return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
