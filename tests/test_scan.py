@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from keyfold.operators import scan
-from keyfold.operators.anchored import anchored_slots
+from keyfold.operators.anchored import anchored_slots, exits
 from keyfold.operators.scan import Running, asof_join, by_position, running, sliding_sums
 
 
@@ -131,3 +132,52 @@ def test_one_shuffle_without_hot_keys(spark):
     df = spark.range(100).selectExpr("id % 5 AS key", "id AS seq")
     plan = running(df, ["key"], ["seq"], by_position("seq"), {"n": Running("sum", F.lit(1))})
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def walked(times, width, unit, half_up):
+    """(start, end, opens) of each time, one after the other; ends are whole units."""
+    start, end, out = None, None, []
+    for t in times:
+        if end is None or t // unit >= end:
+            start, end = t, (t + width + (unit // 2 if half_up else 0)) // unit
+            out.append((start, end * unit, True))
+        else:
+            out.append((start, end * unit, False))
+    return out
+
+
+@pytest.mark.parametrize("blocks", [2, 3, 7, 50])
+def test_crowded_keys_in_blocks_of_time(spark, blocks):
+    rng = random.Random(blocks)
+    rows, want = [], []
+    for key in ["a", "b", "c", None]:
+        dense = rng.choice([2, 9, 40])
+        slots = sorted(rng.sample(range(-300, 300), 600 // dense + 20))
+        times = [s * 1000 + rng.randrange(1000) for s in slots]
+        rows += [(key, t, i) for i, t in enumerate(times)]
+        want += [(key, t // 1000, a, e, o) for t, (a, e, o) in zip(times, walked(times, 6400, 1000, True))]
+    frame = spark.createDataFrame(rows, "key string, us long, off long").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1 + blocks * 2)
+    try:
+        got = anchored_slots(frame, ["key"], "us", 6400, 1000, tie="off", chunk_rows=1, block_units=blocks).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    assert sorted(map(repr, ((r.key, r.slot, r.start_us, r.end_us, r.opens) for r in got))) == sorted(map(repr, want))
+    ties = {(k, t): i for k, t, i in rows}
+    assert all(ties[r.key, r.start_us] == r.start_tie for r in got)
+
+
+def test_exit_pointers():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        slot = np.unique(rng.integers(0, 60, rng.integers(1, 40)))
+        end = slot + rng.integers(3, 5) + rng.integers(0, 2, len(slot))
+        end = np.maximum.accumulate(end)
+        want = []
+        for i in range(len(slot)):
+            j = i
+            while (k := int(np.searchsorted(slot, end[j]))) < len(slot):
+                j = k
+            want.append(j)
+        upto, last = exits(slot, end)
+        assert [last[np.searchsorted(upto, i)] for i in range(len(slot))] == want
