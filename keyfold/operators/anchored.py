@@ -218,9 +218,13 @@ def _in_blocks(firsts: DataFrame, by: list[str], width_us: int, unit_us: int, ha
     number, numbers = T.LongType(), T.ArrayType(T.LongType())
     tables = T.StructType([*keys, T.StructField("block", number), *(T.StructField(c, numbers) for c in ("upto", "exit_end", "exit_start", "exit_tie"))])
     entries = T.StructType([*keys, *(T.StructField(c, number) for c in ("block", "in_start", "in_tie", "in_end"))])
-    found = rows.repartition(*group).sortWithinPartitions(*group, "slot").mapInArrow(_block_exits(by, width_us, unit_us, half_up), tables)
+    # One shuffle of the rows serves both passes: blocks stay where they are, and the few
+    # rows that tell what each is entered with come to them.
+    dealt = rows.repartition(*group).sortWithinPartitions(*group, "slot")
+    found = dealt.mapInArrow(_block_exits(by, width_us, unit_us, half_up), tables)
     entered = found.repartition(*by).sortWithinPartitions(*group).mapInArrow(_walk(by), entries)
-    placed = join_on(rows, entered, group).repartition(*group).sortWithinPartitions(*group, "slot")
+    # a crowded key is never null
+    placed = dealt.join(entered.repartition(*group), group).sortWithinPartitions(*group, "slot")
     labelled = T.StructType([*keys, T.StructField("block", number), *out.fields[len(by):]])
     return placed.mapInArrow(_open_windows(group, width_us, unit_us, half_up, entered=True), labelled).drop("block")
 
