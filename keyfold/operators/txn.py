@@ -36,6 +36,29 @@ def committed_ops(
     return decided.where(~F.col("op").isin("commit", "rollback") & kept).drop("_next")
 
 
+def commit_log(
+    ops: DataFrame,
+    read_uncommitted: bool = False,
+    by: Sequence[str] = OP_KEY,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """The operations that ``committed_ops`` keeps, with ``commit_us``: when others may see them.
+
+    That is the time of the commit that follows, or of the attempt's last operation.
+    Attempts of a key follow each other, so commits never go back in time.
+    """
+    control = F.when(F.col("op").isin("commit", "rollback"), F.struct("op", micros("ts").alias("us")))
+    decided = running(
+        ops.withColumn("_us", micros("ts")), [*by, "attempt"], ["seq"], by_position("seq", chunk_rows),
+        {"_next": Running("last", control), "_end": Running("max", F.col("_us"))}, following=True, chunk_rows=chunk_rows,
+    )
+    finished = ["ok", "crashed"] if read_uncommitted else ["ok"]
+    kept = F.coalesce(F.col("_next.op") == "commit", F.col("outcome").isin(finished))
+    seen = F.when(F.col("_next.op") == "commit", F.col("_next.us")).otherwise(F.col("_end"))
+    return (decided.where(~F.col("op").isin("commit", "rollback") & kept)
+            .withColumn("commit_us", seen).drop("_next", "_end", "_us"))
+
+
 def unexpired(
     snapshot: DataFrame, ttl_seconds: int, asof, write_ts: str = "ts"
 ) -> DataFrame:

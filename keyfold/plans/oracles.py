@@ -36,7 +36,7 @@ PARTS = {
         CAST(-r AS BIGINT) AS rpos FROM (
         SELECT key, event_id AS seq, event_id AS item,
                row_number() OVER (PARTITION BY key ORDER BY event_id DESC) AS r
-        FROM ev p WHERE event_type IN ('view', 'click', 'signup')
+        FROM ev p WHERE event_type <> 'error'
           AND NOT EXISTS (SELECT 1 FROM ev c WHERE c.key = p.key AND c.event_type = 'error'
                           AND c.event_id > p.event_id)) WHERE r <= 5""",
     "deque_ops": """SELECT key, event_id AS seq, row_number() OVER (PARTITION BY key ORDER BY event_id) AS rn,
@@ -72,6 +72,21 @@ PARTS = {
           AND r.seq > t.seq AND NOT EXISTS (
             SELECT 1 FROM txn_ops c WHERE c.key = t.key AND c.attempt = t.attempt AND c.op = 'commit'
             AND c.seq > t.seq AND c.seq < r.seq))""",
+    # what readers may see, and from when: the next commit, or the end of an attempt that went well
+    "seen": """SELECT * FROM (SELECT t.*, e.event_type, coalesce(
+          (SELECT min(c.ts) FROM txn_ops c WHERE c.key = t.key AND c.attempt = t.attempt AND c.op = 'commit' AND c.seq > t.seq),
+          CASE WHEN outcome = 'ok' THEN (SELECT max(a.ts) FROM txn_ops a WHERE a.key = t.key AND a.attempt = t.attempt) END) AS commit_ts
+        FROM txn_kept t JOIN ev e ON e.event_id = t.seq) WHERE commit_ts IS NOT NULL""",
+    "seen_map": """SELECT key, seq, commit_ts, 'k' || (seq % 7) AS map_key, item,
+        CASE WHEN event_type <> 'purchase' THEN 'set' WHEN seq % 5 = 0 THEN 'clear' ELSE 'delete' END AS op FROM seen""",
+    "seen_deque": """SELECT key, seq, commit_ts, CASE WHEN event_type = 'purchase' THEN 'shift' ELSE 'push' END AS op,
+        row_number() OVER (PARTITION BY key ORDER BY seq) AS rn FROM seen""",
+    "seen_steps": """SELECT key, rn, commit_ts, CASE WHEN op = 'push' THEN [seq] ELSE []::BIGINT[] END AS q FROM seen_deque WHERE rn = 1
+        UNION ALL SELECT o.key, o.rn, o.commit_ts, CASE WHEN o.op = 'shift' THEN s.q[2:]
+          WHEN len(s.q) >= 4 THEN list_append(s.q[2:], o.seq) ELSE list_append(s.q, o.seq) END
+        FROM seen_steps s JOIN seen_deque o ON o.key = s.key AND o.rn = s.rn + 1""",
+    "seen_queue": """SELECT l.lookup_id, l.key, l.i, coalesce(arg_max(s.q, s.rn), []::BIGINT[]) AS q FROM deque_lookups l
+        LEFT JOIN seen_steps s ON s.key = l.key AND s.commit_ts <= l.read_ts GROUP BY ALL""",
     "timer_raw": """SELECT key, event_id AS seq, ts,
         CASE event_type WHEN 'signup' THEN 'clear_and_schedule' WHEN 'purchase' THEN 'unschedule'
              WHEN 'error' THEN 'clear' ELSE 'schedule' END AS op,
@@ -117,12 +132,12 @@ PARTS = {
               AND a.subsystem = q.subsystem AND a.ts BETWEEN q.ts AND q.ts + INTERVAL 300 SECOND)
         WHERE r = 1""",
     "lookups": """SELECT event_id AS lookup_id, CAST(user_id + 1 AS VARCHAR) AS key, ts AS read_ts
-        FROM ev WHERE event_type = 'view'""",
-    "map_lookups": """SELECT event_id AS lookup_id, CAST(user_id + 1 AS VARCHAR) AS key,
-        'k' || (event_id % 9) AS map_key FROM ev WHERE event_type = 'view'""",
-    "deque_lookups": """SELECT event_id AS lookup_id, CAST(user_id + 1 AS VARCHAR) AS key,
+        FROM ev""",
+    "map_lookups": """SELECT event_id AS lookup_id, CAST(user_id + 1 AS VARCHAR) AS key, ts AS read_ts,
+        'k' || (event_id % 9) AS map_key FROM ev""",
+    "deque_lookups": """SELECT event_id AS lookup_id, CAST(user_id + 1 AS VARCHAR) AS key, ts AS read_ts,
         CAST(event_id % 12 - 6 AS DOUBLE) + CASE WHEN event_id % 13 = 0 THEN 0.5 ELSE 0 END AS i
-        FROM ev WHERE event_type = 'view'""",
+        FROM ev""",
     "catalog": """SELECT DISTINCT CASE WHEN type = 'order.purchase' THEN 'checkout' ELSE 'billing' END AS subsystem,
         coalesce(type, 'internal') AS collection, CASE WHEN type = 'user.click' THEN 'message' ELSE 'json' END AS payload,
         type IS NOT NULL AS published, source_system AS group_id
@@ -135,7 +150,8 @@ PARTS = {
 NEEDS = {
     "records": ["ev"], "value_ops": ["ev"], "map_ops": ["ev"], "map_rows": ["map_ops"],
     "push_rows": ["ev"], "deque_ops": ["ev"], "deque_steps": ["deque_ops"], "txn_ops": ["ev"],
-    "txn_kept": ["txn_ops"], "timer_raw": ["ev"], "timer_ops": ["timer_raw"], "attempts": ["ev"],
+    "txn_kept": ["txn_ops"], "seen": ["txn_kept"], "seen_map": ["seen"], "seen_deque": ["seen"],
+    "seen_steps": ["seen_deque"], "seen_queue": ["seen_steps", "deque_lookups"], "timer_raw": ["ev"], "timer_ops": ["timer_raw"], "attempts": ["ev"],
     "record_end": ["attempts"], "attempt_log": ["ev"], "outcomes": ["asked", "answers"],
     "lookups": ["ev"], "map_lookups": ["ev"], "deque_lookups": ["ev"], "catalog": ["records"],
     "readable": ["catalog"], "excised": ["records"],
@@ -283,8 +299,8 @@ ORACLES = {
     "map_get_many": sql("ev map_rows", """SELECT event_id AS request_id, ev.key, CAST(3 AS BIGINT) AS n,
         item AS first_item, CAST(NULL AS DOUBLE) AS missing_item, item AS repeated_item
         FROM ev LEFT JOIN map_rows m ON m.key = ev.key AND m.map_key = 'k' || (event_id % 7)
-        WHERE event_type = 'view' AND event_id % 11 <> 0
-        UNION ALL SELECT event_id, key, 0, NULL, NULL, NULL FROM ev WHERE event_type = 'view' AND event_id % 11 = 0"""),
+        WHERE event_id % 11 <> 0
+        UNION ALL SELECT event_id, key, 0, NULL, NULL, NULL FROM ev WHERE event_id % 11 = 0"""),
     "map_has": sql("map_rows map_lookups", """SELECT lookup_id, key, map_key, seq IS NOT NULL AS present
         FROM map_lookups LEFT JOIN map_rows USING (key, map_key)"""),
     "map_entries": sql("map_rows", "SELECT key, map_key, item FROM map_rows ORDER BY key, map_key"),
@@ -412,18 +428,40 @@ ORACLES = {
              WHEN off % 13 = 0 THEN 'malformedResponse' END AS kind FROM records"""),
     "fan_in_summary": sql("outcomes", """SELECT subsystem, CASE WHEN ok THEN 'success' ELSE kind END AS kind,
         count(*) AS n FROM outcomes GROUP BY 1, 2"""),
-    "published_value_get": sql("lookups value_ops", """SELECT lookup_id, l.key, read_ts, item
-        FROM lookups l ASOF LEFT JOIN (SELECT * FROM value_ops WHERE op <> 'get') v
-        ON v.key = l.key AND l.read_ts >= v.ts"""),
-    "published_map_read": sql("map_rows map_lookups", """SELECT lookup_id, key, map_key, item, seq IS NOT NULL AS present
-        FROM map_lookups LEFT JOIN map_rows USING (key, map_key)"""),
-    "published_deque_read": sql("push_rows deque_lookups", """SELECT lookup_id, l.key, i, p.item, coalesce(n, 0) AS length, n IS NULL AS is_empty
-        FROM deque_lookups l LEFT JOIN push_rows p ON p.key = l.key AND i = CASE WHEN i >= 0 THEN pos ELSE rpos END
-        LEFT JOIN (SELECT key, count(*) AS n FROM push_rows GROUP BY key) c ON c.key = l.key"""),
-    "published_map_entries": sql("map_rows map_lookups", """SELECT key, map_key, item FROM map_rows
-        WHERE key IN (SELECT key FROM map_lookups) ORDER BY key, map_key DESC"""),
-    "published_deque_values": sql("push_rows deque_lookups", """SELECT key, pos, item FROM push_rows
-        WHERE key IN (SELECT key FROM deque_lookups) ORDER BY key, pos"""),
+    "commit_log": sql("seen", "SELECT key, attempt, seq, item, commit_ts FROM seen"),
+    "map_versions_appended": sql("seen_map", """SELECT key, map_key, seq, item, commit_ts AS from_ts, to_ts FROM (
+        SELECT m.*, least((SELECT min(c.commit_ts) FROM seen_map c WHERE c.key = m.key AND c.op = 'clear' AND c.seq > m.seq),
+          (SELECT min(w.commit_ts) FROM seen_map w WHERE w.key = m.key AND w.map_key = m.map_key AND w.op <> 'clear' AND w.seq > m.seq)) AS to_ts
+        FROM seen_map m WHERE op = 'set') WHERE to_ts IS NULL OR to_ts > commit_ts"""),
+    "value_versions": sql("seen", """SELECT key, seq, item, commit_ts AS from_ts, to_ts FROM (
+        SELECT *, lead(commit_ts) OVER (PARTITION BY key ORDER BY seq) AS to_ts FROM seen) WHERE to_ts IS NULL OR to_ts > commit_ts"""),
+    "published_value_get": sql("lookups seen", """SELECT lookup_id, l.key, read_ts, arg_max(s.item, s.seq) AS item
+        FROM lookups l LEFT JOIN seen s ON s.key = l.key AND s.commit_ts <= l.read_ts GROUP BY ALL"""),
+    "published_map_read": sql("map_lookups seen_map", """SELECT lookup_id, key, map_key, CASE WHEN op = 'set' THEN item END AS item,
+        coalesce(op = 'set', FALSE) AS present FROM (SELECT lookup_id, l.key, l.map_key, arg_max(op, seq) AS op, arg_max(item, seq) AS item
+        FROM map_lookups l LEFT JOIN seen_map s ON s.key = l.key AND commit_ts <= read_ts AND (op = 'clear' OR s.map_key = l.map_key)
+        GROUP BY ALL)"""),
+    "published_map_get_many": sql("ev seen_map", """SELECT request_id, key, pos, map_key, CASE WHEN op = 'set' THEN item END AS item FROM (
+        SELECT request_id, l.key, pos, l.map_key, arg_max(op, seq) AS op, arg_max(item, seq) AS item FROM (
+          SELECT event_id AS request_id, key, ts AS read_ts, pos, CASE WHEN pos = 1 THEN 'missing' WHEN pos IS NOT NULL THEN 'k' || (event_id % 7) END AS map_key
+          FROM ev LEFT JOIN (SELECT unnest([0, 1, 2])::BIGINT AS pos) ON event_id % 11 <> 0) l
+        LEFT JOIN seen_map s ON s.key = l.key AND commit_ts <= read_ts AND (op = 'clear' OR s.map_key = l.map_key) GROUP BY ALL)"""),
+    "published_map_entries": sql("lookups seen_map", """SELECT lookup_id, key, map_key, item FROM (
+        SELECT lookup_id, l.key, m.map_key, arg_max(op, seq) AS op, arg_max(item, seq) AS item
+        FROM lookups l, (SELECT DISTINCT map_key FROM seen_map) m, seen_map s
+        WHERE s.key = l.key AND commit_ts <= read_ts AND (op = 'clear' OR s.map_key = m.map_key) GROUP BY ALL) WHERE op = 'set'"""),
+    "published_deque_read": sql("seen_queue", """SELECT lookup_id, key, i,
+        CASE WHEN i = floor(i) THEN CASE WHEN i >= 0 THEN q[CAST(i AS BIGINT) + 1] ELSE q[CAST(i AS BIGINT)] END END AS item,
+        CASE WHEN i <> floor(i) THEN 'transient' END AS error_category, CAST(len(q) AS BIGINT) AS length, len(q) = 0 AS is_empty FROM seen_queue"""),
+    "published_deque_values": sql("seen_queue", """SELECT lookup_id, key, CAST(unnest(range(len(q))) AS BIGINT) AS pos, unnest(q) AS item
+        FROM seen_queue"""),
+    "serving_group": sql("ev", """SELECT lookup_id, subsystem, collection, min(group_id) FILTER (open) AS group_id FROM (
+        SELECT l.lookup_id, l.subsystem, l.collection, c.group_id, arg_max(c.open, c.seq) AS open FROM (
+          SELECT event_id AS lookup_id, ts AS read_ts, event_type AS collection,
+          CASE WHEN event_id % 3 = 0 THEN 'checkout' ELSE 'billing' END AS subsystem FROM ev) l
+        LEFT JOIN (SELECT CASE WHEN event_id % 2 = 0 THEN 'checkout' ELSE 'billing' END AS subsystem, event_type AS collection,
+          'g' || key AS group_id, ts, event_id AS seq, event_id % 11 <> 0 AND event_id % 3 <> 0 AS open FROM ev) c
+        ON c.subsystem = l.subsystem AND c.collection = l.collection AND c.ts <= l.read_ts GROUP BY ALL) GROUP BY ALL"""),
     "stale_read": sql("lookups value_ops", """SELECT lookup_id, f.key, f.ts AS read_ts, start AS filled_at, item
         FROM w f ASOF LEFT JOIN (SELECT * FROM value_ops WHERE op <> 'get') v
         ON v.key = f.key AND f.start >= v.ts""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,13 @@ from keyfold.functions import errors, filters, payload
 from keyfold.functions.times import round_timer
 from keyfold.operators import (
     anchored, deques, excise, failures, maps, published, refs, requests, sequence, timers, txn,
-    values, windows,
+    values, versions, windows,
 )
 from keyfold.operators.scan import hot_keys
 from keyfold.plans import streams, tables
+from keyfold.session import shared_dir
 from keyfold.sources import log
-from keyfold.sources.published import read_published
+from keyfold.sources.published import append_versions, read_published, read_versions
 
 ASOF = dt.datetime(2024, 1, 20)
 SIX_HOURS_S = 6 * 3600
@@ -626,42 +628,84 @@ def fan_in_summary(spark, sf_dir):
 
 # published state
 
+def _committed(ops):
+    return txn.commit_log(ops)
+
+
+@query
+def commit_log(spark, sf_dir):
+    return _committed(tables.txn_ops(spark, sf_dir)).select(
+        "key", "attempt", "seq", "item", F.timestamp_micros("commit_us").alias("commit_ts"))
+
+
+@query
+def value_versions(spark, sf_dir):
+    found = versions.value_versions(_committed(tables.txn_ops(spark, sf_dir)))
+    return found.select("key", "seq", "item", F.timestamp_micros("from_us").alias("from_ts"), F.timestamp_micros("to_us").alias("to_ts"))
+
+
+@query
+def map_versions_appended(spark, sf_dir):
+    """Versions of maps from three runs, each over the attempts of its time."""
+    log = _committed(tables.txn_map_ops(spark, sf_dir))
+    path = f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}"
+    low, high = log.agg(F.min("attempt"), F.max("attempt")).first()
+    turn = F.floor((F.col("attempt") - low) * 3 / (high - low + 1))
+    for run in range(3):
+        append_versions(log.where(turn == run), path, run)
+    return read_versions(spark, path).select(
+        "key", "map_key", "seq", "item", F.timestamp_micros("from_us").alias("from_ts"), F.timestamp_micros("to_us").alias("to_ts"))
+
+
 @query
 def published_value_get(spark, sf_dir):
-    return published.published_value_get(
-        tables.value_ops(spark, sf_dir), tables.lookups(spark, sf_dir)
-    ).select("lookup_id", "key", "read_ts", "item")
+    log = _committed(tables.txn_ops(spark, sf_dir)).withColumn("ts", F.timestamp_micros("commit_us"))
+    return published.published_value_get(log, tables.lookups(spark, sf_dir)).select("lookup_id", "key", "read_ts", "item")
 
 
 @query
 def published_map_read(spark, sf_dir):
-    snapshot = _map(spark, sf_dir)
-    asked = tables.map_lookups(spark, sf_dir)
-    got = published.published_map_get(snapshot, asked)
-    return published.published_map_has(snapshot, got).select(
-        "lookup_id", "key", "map_key", "item", "present")
+    return published.published_map_get(
+        _committed(tables.txn_map_ops(spark, sf_dir)), tables.map_lookups(spark, sf_dir)
+    ).select("lookup_id", "key", "map_key", "item", "present")
 
 
 @query
-def published_deque_read(spark, sf_dir):
-    items = _deque(spark, sf_dir)
-    found = published.published_deque_at(items, tables.deque_lookups(spark, sf_dir))
-    return published.published_deque_length(items, found).select(
-        "lookup_id", "key", "i", "item", "length", "is_empty")
+def published_map_get_many(spark, sf_dir):
+    return published.published_map_get_many(
+        _committed(tables.txn_map_ops(spark, sf_dir)), tables.map_requests(spark, sf_dir)
+    ).select("request_id", "key", F.col("pos").cast("bigint").alias("pos"), "map_key", "item")
 
 
 @query
 def published_map_entries(spark, sf_dir):
-    asked = tables.map_lookups(spark, sf_dir)
     return published.published_map_entries(
-        published.of_keys(_map(spark, sf_dir), asked), backward=True).select("key", "map_key", "item")
+        _committed(tables.txn_map_ops(spark, sf_dir)), tables.lookups(spark, sf_dir).withColumn("collection", F.lit("totals"))
+    ).select("lookup_id", "key", "map_key", "item")
+
+
+@query
+def published_deque_read(spark, sf_dir):
+    return published.published_deque_at(
+        _committed(tables.txn_deque_ops(spark, sf_dir)), tables.deque_lookups(spark, sf_dir), 4
+    ).select("lookup_id", "key", "i", "item", "error_category", "length", "is_empty")
 
 
 @query
 def published_deque_values(spark, sf_dir):
-    asked = tables.deque_lookups(spark, sf_dir)
     return published.published_deque_values(
-        published.of_keys(_deque(spark, sf_dir), asked)).select("key", "pos", "item")
+        _committed(tables.txn_deque_ops(spark, sf_dir)), tables.deque_lookups(spark, sf_dir), 4
+    ).select("lookup_id", "key", "pos", "item")
+
+
+@query
+def serving_group(spark, sf_dir):
+    """Which group answers each read, while groups publish and retire collections."""
+    asked = tables.events(spark, sf_dir).select(
+        F.col("event_id").alias("lookup_id"), F.col("ts").alias("read_ts"), F.col("event_type").alias("collection"),
+        F.when(F.col("event_id") % 3 == 0, "checkout").otherwise("billing").alias("subsystem"))
+    return published.serving_group(asked, tables.catalog_changes(spark, sf_dir)).select(
+        "lookup_id", "subsystem", "collection", "group_id")
 
 
 @query

@@ -80,10 +80,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _ops(spark, sf_dir, collection, op, item, map_key=None, where=None) -> DataFrame:
+def _ops(spark, sf_dir, collection, op, item, map_key=None) -> DataFrame:
     source = events(spark, sf_dir)
-    if where is not None:
-        source = source.where(where)
     columns = ["topic", "key", F.lit(collection).alias("collection"),
                F.col("event_id").alias("seq"), "ts", op.alias("op")]
     if map_key is not None:
@@ -105,8 +103,7 @@ def map_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def push_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = pick("event_type", {"error": "clear"}, "push")
-    return _ops(spark, sf_dir, "backlog", op, F.when(op == "push", F.col("event_id")),
-                where=F.col("event_type") != "purchase")
+    return _ops(spark, sf_dir, "backlog", op, F.when(op == "push", F.col("event_id")))
 
 
 def queue_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,19 +132,51 @@ def message_map_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(op == "set", F.struct("topic", "part", "off")), key)
 
 
-def txn_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _in_attempts(rows: DataFrame) -> DataFrame:
     """Two days of a key's operations make one attempt."""
-    attempt = F.floor(micros("ts") / F.lit(48 * HOUR_US)).cast("bigint")
     turn = F.col("attempt") + F.col("user_id")
+    return rows.withColumn("attempt", F.floor(micros("ts") / F.lit(48 * HOUR_US)).cast("bigint")).withColumn(
+        "outcome", F.when(turn % 3 == 0, "failed").when(turn % 11 == 5, "crashed").otherwise("ok"))
+
+
+def txn_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = pick("event_type", {"click": "commit", "error": "rollback"}, "set")
-    return events(spark, sf_dir).withColumn("attempt", attempt).select(
-        "topic", "key", F.lit("total").alias("collection"), "attempt",
-        F.when(turn % 3 == 0, "failed").when(turn % 11 == 5, "crashed").otherwise("ok").alias("outcome"),
+    return _in_attempts(events(spark, sf_dir)).select(
+        "topic", "key", F.lit("total").alias("collection"), "attempt", "outcome",
         F.col("event_id").alias("seq"), "ts", op.alias("op"),
         F.when(op == "set", F.col("value")).alias("item"),
     )
 
 
+def _attempted(spark: SparkSession, sf_dir: str, collection: str, op, item, map_key=None) -> DataFrame:
+    """Operations of attempts as in ``txn_ops``, on another collection."""
+    control = pick("event_type", {"click": "commit", "error": "rollback"})
+    op = F.coalesce(control, op)
+    columns = [] if map_key is None else [map_key.alias("map_key")]
+    return _in_attempts(events(spark, sf_dir)).select(
+        "topic", "key", F.lit(collection).alias("collection"), "attempt", "outcome", F.col("event_id").alias("seq"), "ts",
+        op.alias("op"), *columns, F.when(op.isin("set", "push"), item).alias("item"))
+
+
+def txn_map_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    op = F.when(F.col("event_type") != "purchase", "set").when(F.col("event_id") % 5 == 0, "clear").otherwise("delete")
+    return _attempted(spark, sf_dir, "totals", op, F.col("value"),
+                      F.concat(F.lit("k"), (F.col("event_id") % 7).cast("string")))
+
+
+def txn_deque_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attempted(spark, sf_dir, "backlog", pick("event_type", {"purchase": "shift"}, "push"), F.col("event_id"))
+
+
+def catalog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups publish and retire collections as events go by."""
+    return events(spark, sf_dir).select(
+        F.when(F.col("event_id") % 2 == 0, "checkout").otherwise("billing").alias("subsystem"),
+        F.col("event_type").alias("collection"), F.concat(F.lit("g"), F.col("key")).alias("group_id"),
+        F.when(F.col("event_id") % 11 == 0, "message").otherwise("json").alias("payload"),
+        (F.col("event_id") % 3 != 0).alias("published"), "ts", F.col("event_id").alias("seq"))
+
+
 def timer_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unschedules name the time of the key's latest schedule before them."""
     op = pick("event_type", {
@@ -239,8 +268,8 @@ def responses(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
 
 
 def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every view reads the next user's value at its own time."""
-    return events(spark, sf_dir).where("event_type = 'view'").select(
+    """Every event reads the next user's value at its own time."""
+    return events(spark, sf_dir).select(
         "topic", (F.col("user_id") + 1).cast("string").alias("key"),
         F.lit("total").alias("collection"),
         F.col("event_id").alias("lookup_id"), F.col("ts").alias("read_ts"),
@@ -248,9 +277,9 @@ def lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where("event_type = 'view'").select(
+    return events(spark, sf_dir).select(
         "topic", (F.col("user_id") + 1).cast("string").alias("key"),
-        F.lit("totals").alias("collection"), F.col("event_id").alias("lookup_id"),
+        F.lit("totals").alias("collection"), F.col("event_id").alias("lookup_id"), F.col("ts").alias("read_ts"),
         F.concat(F.lit("k"), (F.col("event_id") % 9).cast("string")).alias("map_key"),
     )
 
@@ -261,9 +290,9 @@ def map_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = F.when(F.col("event_id") % 11 == 0, F.array().cast("array<string>")).otherwise(
         F.array(key, F.lit("missing"), key)
     )
-    return events(spark, sf_dir).where("event_type = 'view'").select(
+    return events(spark, sf_dir).select(
         F.col("event_id").alias("request_id"), "topic", "key",
-        F.lit("totals").alias("collection"), keys.alias("keys"),
+        F.lit("totals").alias("collection"), F.col("ts").alias("read_ts"), keys.alias("keys"),
     )
 
 
@@ -271,9 +300,9 @@ def deque_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indexes from -6 to 5, some halves between them."""
     index = (F.col("event_id") % 12 - 6).cast("double") + F.when(
         F.col("event_id") % 13 == 0, 0.5).otherwise(0.0)
-    return events(spark, sf_dir).where("event_type = 'view'").select(
+    return events(spark, sf_dir).select(
         "topic", (F.col("user_id") + 1).cast("string").alias("key"),
-        F.lit("backlog").alias("collection"), F.col("event_id").alias("lookup_id"),
+        F.lit("backlog").alias("collection"), F.col("event_id").alias("lookup_id"), F.col("ts").alias("read_ts"),
         index.alias("i"),
     )
 
