@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.operators.anchored import key_at, key_changes
-from keyfold.operators.joins import keyed
+from keyfold.operators.joins import join_on
 from keyfold.operators.scan import CHUNK_ROWS, Running, by_position, hot_keys, running
 from keyfold.schema import OP_KEY
 from keyfold.session import materialize
@@ -164,7 +164,7 @@ def deque_trace(
         "low": F.when(op.isin(*REMOVALS, "clear"), F.lit(0)).otherwise(low),
         "high": F.when(op.isin(*WRITES), F.lit(cap)).when(op == "clear", F.lit(0)).otherwise(high),
     }
-    narrow = keyed(ops.select(*by, "seq", "op"), by).select("*", *[c.cast("bigint").alias(n) for n, c in clamp.items()])
+    narrow = ops.select(*by, "seq", "op").select("*", *[c.cast("bigint").alias(n) for n, c in clamp.items()])
     hot = hot_keys(narrow, by, chunk_rows)
 
     def entered(length):
@@ -229,7 +229,7 @@ def deque_fold(
         F.max("seq").alias("seq")
     )
     live = (
-        written.join(ends, by)
+        join_on(written, ends, by)
         .where("slot >= _end.front AND slot < _end.back")
         .select(
             *by, "seq",
@@ -237,7 +237,7 @@ def deque_fold(
             (F.col("slot") - F.col("_end.back")).alias("rpos"),
         )
     )
-    return live.join(ops.select(*by, "seq", "item"), [*by, "seq"])
+    return join_on(live, ops.select(*by, "seq", "item"), [*by, "seq"])
 
 
 def deque_removed(
@@ -263,7 +263,7 @@ def deque_removed(
         *by, "seq", "op", F.lit(None).cast("bigint").alias("from_seq")
     )
     items = ops.where(F.col("op").isin(*WRITES)).select(*by, F.col("seq").alias("from_seq"), "item")
-    return took.unionByName(nothing).join(items, [*by, "from_seq"], "left")
+    return join_on(took.unionByName(nothing), items, [*by, "from_seq"], "left")
 
 
 def deque_latest(ops: DataFrame, capacity: int, by: Sequence[str] = OP_KEY) -> DataFrame:
@@ -276,19 +276,18 @@ def deque_latest(ops: DataFrame, capacity: int, by: Sequence[str] = OP_KEY) -> D
     """
     by = list(by)
     other = F.raise_error(F.concat(F.lit("deque_latest takes push and clear, not "), F.coalesce("op", F.lit("null"))))
-    ops = keyed(ops, by).withColumn("op", F.when(F.col("op").isin("push", "clear"), F.col("op")).otherwise(other))
+    ops = ops.withColumn("op", F.when(F.col("op").isin("push", "clear"), F.col("op")).otherwise(other))
     cleared = ops.where("op = 'clear'").groupBy(*by).agg(F.max("seq").alias("_cleared"))
     newest = Window.partitionBy(*by).orderBy(F.col("seq").desc())
     # Pushes before the last clear rank behind those after it, so cutting to the
     # newest first and dropping cleared ones later gives the same rows.
-    kept = (
+    ranked = (
         ops.where("op = 'push'")
         .select(*by, "seq", "item")
         .withColumn("_rank", F.row_number().over(newest))
         .where(F.col("_rank") <= capacity)
-        .join(cleared, by, "left")
-        .where("_cleared IS NULL OR seq > _cleared")
     )
+    kept = join_on(ranked, cleared, by, "left").where("_cleared IS NULL OR seq > _cleared")
     count = F.count("*").over(Window.partitionBy(*by))
     return kept.select(
         *by, "seq",
@@ -301,7 +300,7 @@ def deque_latest(ops: DataFrame, capacity: int, by: Sequence[str] = OP_KEY) -> D
 def deque_length(items: DataFrame, lookups: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:
     """Each lookup with ``length`` and ``is_empty``; an unknown key counts 0."""
     lengths = items.groupBy(*by).agg(F.count("*").alias("length"))
-    return lookups.join(lengths, list(by), "left").withColumns({
+    return join_on(lookups, lengths, by, "left").withColumns({
         "length": F.coalesce("length", F.lit(0)).cast("bigint"),
     }).withColumn("is_empty", F.col("length") == 0)
 
@@ -325,8 +324,7 @@ def deque_at(
     front = items.select(*by, F.col("pos").alias("_pos"), F.col("item").alias("_front"))
     back = items.select(*by, F.col("rpos").alias("_rpos"), F.col("item").alias("_back"))
     return (
-        asked.join(front, [*by, "_pos"], "left")
-        .join(back, [*by, "_rpos"], "left")
+        join_on(join_on(asked, front, [*by, "_pos"], "left"), back, [*by, "_rpos"], "left")
         .select(
             *lookups.columns,
             F.coalesce("_front", "_back").alias("item"),

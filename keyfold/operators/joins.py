@@ -10,12 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keyed(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The same rows; one without a key stops the job instead of getting lost on the way."""
-    missing = F.raise_error(F.lit("a row has no key; split such rows off at the source with split_keyless"))
-    return df.withColumns({c: F.coalesce(F.col(c), missing.cast(df.schema[c].dataType)) for c in by})
-
-
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on columns that both sides have; null equals null, as in a group or a window.
 

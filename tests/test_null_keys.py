@@ -2,7 +2,6 @@
 
 import pytest
 from fixtures import at, ops, records, rows
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from keyfold.functions.payload import with_event_metadata
@@ -65,11 +64,36 @@ def test_a_missing_key_is_a_key(spark, operator, listed, monkeypatch):
     assert rows(got, *columns) == rows(want, *columns)
 
 
-def test_deques_refuse_a_missing_key(spark):
-    log = ops(spark, [("a", 0, "push", None, "1"), (None, 1, "push", None, "2")])
-    for fold in (deques.deque_fold, lambda o: deques.deque_latest(o, 5)):
-        with pytest.raises(PySparkException, match="split_keyless"):
-            fold(log).collect()
-    good, keyless = split_keyless(log)
+DEQUE = [(key, seq, op, None, str(seq) if op in ("push", "unshift") else None) for seq, (key, op) in enumerate([
+    ("a", "push"), ("z", "push"), ("z", "push"), ("z", "clear"), ("z", "push"), ("b", "push"), ("z", "push"), ("a", "push"), ("z", "push")])]
+MORE = [(key, 20 + seq, op, None, str(seq) if op in ("push", "unshift") else None) for seq, (key, op) in enumerate([
+    ("z", "shift"), ("a", "pop"), ("z", "unshift"), ("z", "pop"), ("z", "unshift")])]
+INDEXES = [("z", 0), ("z", -1), ("z", 9), ("a", 0), ("none", 0)]
+DEQUES = {
+    "fold": lambda log, _: deques.deque_fold(log, 3, chunk_rows=2),
+    "removed": lambda log, _: deques.deque_removed(log, 3, chunk_rows=2),
+    "latest": lambda log, _: deques.deque_latest(log.where("seq < 20"), 2),
+    "length": lambda log, asked: deques.deque_length(deques.deque_fold(log), asked),
+    "at": lambda log, asked: deques.deque_at(deques.deque_fold(log), asked),
+}
+
+
+@pytest.mark.parametrize("listed", [0, 10_000])
+@pytest.mark.parametrize("operator", DEQUES)
+def test_a_missing_key_has_a_deque(spark, operator, listed, monkeypatch):
+    monkeypatch.setattr(scan, "MAX_LISTED", listed)
+
+    def run(name):
+        log = ops(spark, [(name if r[0] == "z" else r[0], *r[1:]) for r in DEQUE + MORE])
+        asked = spark.createDataFrame([("t", name if k == "z" else k, "c", i) for k, i in INDEXES], "topic string, key string, collection string, i long")
+        return DEQUES[operator](log, asked)
+
+    want, got = run("z"), run(None).withColumn("key", F.coalesce("key", F.lit("z")))
+    assert "z" in {r.key for r in want.collect()}
+    assert rows(got, *sorted(want.columns)) == rows(want, *sorted(want.columns))
+
+
+def test_rows_without_a_key_split_off(spark):
+    good, keyless = split_keyless(ops(spark, [("a", 0, "push", None, "1"), (None, 1, "push", None, "2")]))
     assert deques.deque_fold(good).count() == 1
     assert [(r.seq, r.error_category) for r in keyless.collect()] == [(1, "permanent")]
