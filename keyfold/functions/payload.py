@@ -49,36 +49,50 @@ def string_field(document: Column, name: str) -> Column:
     )
 
 
-def with_event_metadata(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Add ``event_id`` and ``event_type`` from string fields ``id`` and ``type``.
+def _parsed_once(df: DataFrame, payload: str) -> DataFrame:
+    """Adds ``_document``, the payload as a variant or null, and ``_whole``, whether it is JSON.
 
-    The document is a column of its own first, so that it is parsed once.
+    The parse is a generated row of one: expressions above it read its result, where a
+    projection would be merged with them and parse again for each.
     """
+    framed = F.try_parse_json(F.concat(F.lit("["), _col(payload), F.lit(f',"{_END}"]')))
+    rows = df.select("*", F.inline(F.array(F.struct(framed.alias("_framed")))))
+    whole = F.coalesce(F.try_variant_get("_framed", "$[1]", "string") == _END, F.lit(False))
+    return rows.withColumn("_whole", whole).withColumn(
+        "_document", F.when(F.col("_whole"), F.try_variant_get("_framed", "$[0]", "variant"))).drop("_framed")
+
+
+def with_event_metadata(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Add ``event_id`` and ``event_type`` from string fields ``id`` and ``type``; each payload is parsed once."""
     document = F.col("_document")
-    return df.withColumn("_document", parsed(payload)).withColumns({
+    return _parsed_once(df, payload).withColumns({
         "event_id": string_field(document, "id"),
         "event_type": string_field(document, "type"),
-    }).drop("_document")
+    }).drop("_document", "_whole")
+
+
+def checked_payload(df: DataFrame, schema: T.StructType | None = None, payload: str = "payload") -> DataFrame:
+    """Messages with ``document``, ``error_category`` and ``error_message``, in one pass and one parse.
+
+    A payload that is not JSON has no document and the category permanent: no retry makes
+    it parse. Excise records are left out.
+    """
+    rows = _parsed_once(df.where(F.col(payload).isNotNull()), payload)
+    document = F.col("_document") if schema is None else F.when(F.col("_whole"), F.from_json(F.col(payload), schema))
+    return rows.withColumns({
+        "document": document,
+        "error_category": F.when(~F.col("_whole"), F.lit("permanent")),
+        "error_message": F.when(~F.col("_whole"), F.lit("message payload is not JSON")),
+    }).drop("_document", "_whole")
 
 
 def decode_payload(
     df: DataFrame, schema: T.StructType | None = None, payload: str = "payload"
 ) -> tuple[DataFrame, DataFrame]:
-    """Parsed messages, and the records whose payload is not JSON.
-
-    The latter carry ``error_category`` permanent: no retry makes them parse.
-    Excise records belong to neither frame.
-    """
-    present = df.where(F.col(payload).isNotNull())
-    whole = is_json(payload)
-    good = present.where(whole).withColumn("document", parsed(payload))
-    if schema is not None:
-        good = good.withColumn("document", F.from_json(F.col(payload), schema))
-    broken = present.where(~whole).withColumns({
-        "error_category": F.lit("permanent"),
-        "error_message": F.lit("message payload is not JSON"),
-    })
-    return good, broken
+    """Parsed messages, and the records whose payload is not JSON, as two frames (``checked_payload`` is one)."""
+    rows = checked_payload(df, schema, payload)
+    good = rows.where("error_category IS NULL").drop("error_category", "error_message")
+    return good, rows.where("error_category IS NOT NULL").drop("document")
 
 
 def _finite(value: Column, kind: T.DataType) -> Column:
@@ -120,30 +134,39 @@ def is_null_item(item: Column | str) -> Column:
 WRITES = ("set", "push", "unshift")
 
 
-def reject_null_items(ops: DataFrame, item: str = "item") -> tuple[DataFrame, DataFrame]:
-    """Accepted operations, and writes of null with ``error_category`` transient.
-
-    The rejected ones leave the store untouched.
-    """
+def checked_items(ops: DataFrame, item: str = "item") -> DataFrame:
+    """Operations with ``error_category`` and ``error_message``: transient for writes of null, which leave the store untouched."""
     text = ops.schema[item].dataType == T.StringType()
     null = is_null_item(item) if text else F.col(item).isNull()
     bad = F.coalesce(F.col("op").isin(*WRITES), F.lit(False)) & null
-    rejected = ops.where(bad).withColumns({
-        "error_category": F.lit("transient"),
-        "error_message": F.lit("null cannot be stored; use clear or delete"),
+    return ops.withColumns({
+        "error_category": F.when(bad, F.lit("transient")),
+        "error_message": F.when(bad, F.lit("null cannot be stored; use clear or delete")),
     })
-    return ops.where(~bad), rejected
 
 
-def validate_utf8(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Rows whose bytes are UTF-8, with text ``payload``; and the others."""
-    valid = F.col(value).isNull() | F.is_valid_utf8(F.col(value).cast("string"))
-    good = df.where(valid).withColumn("payload", F.col(value).cast("string"))
-    bad = df.where(~valid).withColumns({
-        "error_category": F.lit("permanent"),
-        "error_message": F.lit("payload is not UTF-8"),
+def reject_null_items(ops: DataFrame, item: str = "item") -> tuple[DataFrame, DataFrame]:
+    """Accepted operations, and writes of null, as two frames (``checked_items`` is one)."""
+    rows = checked_items(ops, item)
+    return rows.where("error_category IS NULL").drop("error_category", "error_message"), rows.where("error_category IS NOT NULL")
+
+
+def checked_utf8(df: DataFrame, value: str = "value") -> DataFrame:
+    """Rows with text ``payload``, or ``error_category`` permanent where the bytes are not UTF-8."""
+    text = F.col(value).cast("string")
+    valid = F.col(value).isNull() | F.is_valid_utf8(text)
+    return df.withColumns({
+        "payload": F.when(valid, text),
+        "error_category": F.when(~valid, F.lit("permanent")),
+        "error_message": F.when(~valid, F.lit("payload is not UTF-8")),
     })
-    return good, bad
+
+
+def validate_utf8(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Rows whose bytes are UTF-8, with text ``payload``, and the others, as two frames (``checked_utf8`` is one)."""
+    rows = checked_utf8(df, value)
+    bad = rows.where("error_category IS NOT NULL")
+    return rows.where("error_category IS NULL").drop("error_category", "error_message"), bad.drop("payload")
 
 
 def record_columns(df: DataFrame) -> DataFrame:

@@ -472,24 +472,18 @@ ORACLES = {
         coalesce(type, 'internal') AS collection FROM records) r JOIN readable USING (subsystem, collection)"""),
 
     # streams and handlers
-    "window_notify_stream": sql("ev", """SELECT key, kind, window_start, n, pos, event_id FROM notes
-        WHERE is_first OR fire_at <= (SELECT max(ts) FROM ev)""",
+    "window_notify_stream": sql("ev", """SELECT key, kind, window_start, n, pos, event_id FROM notes""",
         **walk("key", seconds_after("6 HOUR")), **notified("6 HOUR", 3)),
     "window_notify_handler": sql("records", """SELECT key, kind, window_start, n, pos, event_id FROM notes
         WHERE is_first OR NOT EXISTS (SELECT 1 FROM records x WHERE x.is_excise AND x.key = notes.key
         AND x.ts >= notes.window_start AND x.ts < notes.fire_at)""",
         **walk("key", seconds_after("3 DAY"), reset="is_excise", source="records"), **notified("3 DAY", 100)),
     "timer_stream": sql("timer_ops", """SELECT DISTINCT key, fire_at FROM timer_ops s
-        WHERE op IN ('schedule', 'clear_and_schedule') AND fire_at <= (SELECT max(ts) FROM ev) AND NOT EXISTS (
+        WHERE op IN ('schedule', 'clear_and_schedule') AND NOT EXISTS (
           SELECT 1 FROM timer_ops c WHERE c.key = s.key AND c.seq > s.seq AND c.ts < s.fire_at
           AND c.op IN ('clear', 'clear_and_schedule'))"""),
-    "request_outcomes_stream": sql("outcomes", """SELECT o.* FROM outcomes o JOIN orders ON o_orderkey = request_id
-        WHERE o_orderdate + INTERVAL 300 SECOND < (SELECT max(ts) FROM (
-          SELECT max(ts) AS ts FROM asked UNION ALL SELECT max(ts) FROM answers))"""),
-    "request_outcomes_join": sql("outcomes", """SELECT request_id, subsystem, resp_ts IS NULL AS timed_out
-        FROM outcomes JOIN orders ON o_orderkey = request_id
-        WHERE resp_ts IS NOT NULL OR o_orderdate + INTERVAL 300 SECOND <
-          least((SELECT max(ts) FROM asked), (SELECT max(ts) FROM answers))"""),
+    "request_outcomes_stream": sql("outcomes", "SELECT * FROM outcomes"),
+    "request_outcomes_join": sql("outcomes", "SELECT request_id, subsystem, resp_ts IS NULL AS timed_out FROM outcomes"),
 }
 ORACLES["keyed_counter_handler"] = ORACLES["keyed_counter"]
 ORACLES["dedup_stream"] = ORACLES["dedup_ttl"]

@@ -18,6 +18,7 @@ from keyfold.operators import (
 )
 from keyfold.operators.scan import hot_keys
 from keyfold.plans import streams, tables
+from keyfold.schema import ATTEMPT, RECORD
 from keyfold.session import shared_dir
 from keyfold.sources import log
 from keyfold.sources.published import append_versions, read_published, read_versions
@@ -47,12 +48,20 @@ def _asof():
     return F.lit(ASOF).cast("timestamp")
 
 
+def _written(rows: DataFrame) -> str:
+    """The path of a table in the shared folder with these rows."""
+    path = f"{shared_dir(rows.sparkSession)}/log-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return path
+
+
 # sources and sinks
 
 @query
 def read_log(spark, sf_dir):
-    rows = tables.records(spark, sf_dir)
-    return payload.with_event_metadata(rows.drop("event_id")).select(
+    """The records written as files and read back as a log."""
+    path = _written(tables.records(spark, sf_dir).select(*RECORD.fieldNames()))
+    return log.read_log(spark, "events", path=path, format="parquet").select(
         "topic", "part", "off", "ts", "key", "source_system", "event_id", "event_type"
     )
 
@@ -96,7 +105,9 @@ def write_dead_letters(spark, sf_dir):
 
 @query
 def read_attempts(spark, sf_dir):
-    return tables.attempts(spark, sf_dir)
+    """Attempts written as files and read back, with the category of their errors."""
+    path = _written(tables.attempts(spark, sf_dir).select(*ATTEMPT.fieldNames()))
+    return log.read_attempts(spark, path).withColumn("error_category", errors.error_category("error_class", ["TypeError"]))
 
 
 @query
@@ -131,11 +142,8 @@ def decode_payload(spark, sf_dir):
     # every 13th payload loses its last character
     broken = F.when(F.col("off") % 13 == 0, F.expr("substr(payload, 1, length(payload) - 1)"))
     rows = rows.withColumn("payload", F.coalesce(broken, "payload"))
-    parsed, failed = payload.decode_payload(rows)
-    return parsed.select(
-        "off", F.try_variant_get("document", "$.k", "bigint").alias("k"),
-        F.lit(None).cast("string").alias("error_category"),
-    ).unionByName(failed.select("off", F.lit(None).cast("bigint").alias("k"), "error_category"))
+    return payload.checked_payload(rows).select(
+        "off", F.try_variant_get("document", "$.k", "bigint").alias("k"), "error_category")
 
 
 @query
@@ -181,19 +189,15 @@ def round_timers(spark, sf_dir):
 def reject_null_items(spark, sf_dir):
     ops = tables.value_ops(spark, sf_dir).withColumn(
         "item", F.when(F.col("seq") % 7 != 0, F.col("item")))
-    accepted, rejected = payload.reject_null_items(ops)
-    return accepted.select("seq", "op", F.lit(None).cast("string").alias("error_category")).unionByName(
-        rejected.select("seq", "op", "error_category"))
+    return payload.checked_items(ops).select("seq", "op", "error_category")
 
 
 @query
 def validate_utf8(spark, sf_dir):
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("value"))
     cut = F.when(F.col("doc_id") % 5 == 0, F.concat("value", F.unhex(F.lit("C3"))))
-    good, bad = payload.validate_utf8(docs.withColumn("value", F.coalesce(cut, "value")))
-    return good.select("doc_id", F.length("payload").cast("bigint").alias("chars"),
-                       F.lit(None).cast("string").alias("error_category")).unionByName(
-        bad.select("doc_id", F.lit(None).cast("bigint").alias("chars"), "error_category"))
+    return payload.checked_utf8(docs.withColumn("value", F.coalesce(cut, "value"))).select(
+        "doc_id", F.length("payload").cast("bigint").alias("chars"), "error_category")
 
 
 @query

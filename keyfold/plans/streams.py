@@ -1,8 +1,7 @@
 """Streaming forms and user handlers as queries.
 
-The test tables are read as file streams and run to their end. A stream only
-closes what its watermark has passed, so windows, timers and deadlines later than
-the last event are not in the result.
+The test tables are read as file streams and run to their end, where everything still
+open is closed (``run_to_end``).
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from keyfold.functions.times import from_micros, instant, micros
 from keyfold.plans import tables
 from keyfold.streaming import dedup, handlers, requests
 from keyfold.streaming.handler import run_stream, run_table
-from keyfold.streaming.run import run_available
+from keyfold.streaming.run import END, run_available, run_to_end
 
 HOUR_US = tables.HOUR_US
 SIX_HOURS_S = 6 * 3600
@@ -45,8 +44,12 @@ def _records(source: DataFrame, payload) -> DataFrame:
 IN_ORDER = "0 seconds"
 
 
-def _finish(df: DataFrame, name: str, event_time: bool = True) -> DataFrame:
-    return run_available(df, f"{name}-{uuid.uuid4().hex}", event_time=event_time)
+#: The record that ends a stream: a tombstone of a key that no event has.
+_LAST = {"topic": "end", "part": 0, "off": -1, "ts": END, "key": "end"}
+
+
+def _name(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex}"
 
 
 def _sent(rows: DataFrame) -> DataFrame:
@@ -60,7 +63,7 @@ def _sent(rows: DataFrame) -> DataFrame:
 def window_notify_stream(spark, sf_dir):
     handler = handlers.WindowNotify(SIX_HOURS_S, 3)
     records = _records(_read(spark, sf_dir, "events"), F.col("props"))
-    return _sent(_finish(run_stream(records, handler, handler.collections, watermark=IN_ORDER), "window-notify"))
+    return _sent(run_to_end(lambda r: run_stream(r, handler, handler.collections, watermark=IN_ORDER), _name("window-notify"), (records, _LAST)))
 
 
 @stream
@@ -89,8 +92,8 @@ def _timer_payload():
 @stream
 def timer_stream(spark, sf_dir):
     records = _records(_read(spark, sf_dir, "events"), _timer_payload())
-    fired = _finish(run_stream(records, handlers.TimerLog(), watermark=IN_ORDER), "timers").where("kind = 'emit'")
-    return fired.select(
+    fired = run_to_end(lambda r: run_stream(r, handlers.TimerLog(), watermark=IN_ORDER), _name("timers"), (records, _LAST))
+    return fired.where("kind = 'emit'").select(
         "key", from_micros(F.get_json_object("body", "$.fire_us").cast("bigint")).alias("fire_at"))
 
 
@@ -102,20 +105,24 @@ def dedup_stream(spark, sf_dir):
     })
     records = _records(_read(spark, sf_dir, "events"), kind)
     kept = dedup.dedup_stream(records, event_id="payload")
-    return _finish(kept, "dedup", event_time=False).select("key", "off", F.col("payload").alias("type"))
+    return run_available(kept, _name("dedup"), event_time=False).select("key", "off", F.col("payload").alias("type"))
 
 
-@stream
-def request_outcomes_stream(spark, sf_dir):
+def _requests(spark, sf_dir):
+    """Requests and responses as streams, each with its end."""
     orders = tables.requests(spark, sf_dir, _read(spark, sf_dir, "orders"))
     answers = tables.responses(spark, sf_dir, _read(spark, sf_dir, "lineitem"))
-    rows = _finish(requests.request_outcomes_stream(orders, answers, IN_ORDER), "requests")
-    return rows.select("request_id", "subsystem", "ok", "value", "kind", "message", "resp_ts")
+    last = {"request_id": -1, "ts": END}
+    return (orders, last | {"subsystems": ["end"], "timeout_ms": 0}), (answers, last | {"subsystem": "end", "resp_no": 0})
+
+
+@stream
+def request_outcomes_stream(spark, sf_dir):
+    rows = run_to_end(lambda q, a: requests.request_outcomes_stream(q, a, IN_ORDER), _name("requests"), *_requests(spark, sf_dir))
+    return rows.where("request_id <> -1").select("request_id", "subsystem", "ok", "value", "kind", "message", "resp_ts")
 
 
 @stream
 def request_outcomes_join(spark, sf_dir):
-    orders = tables.requests(spark, sf_dir, _read(spark, sf_dir, "orders"))
-    answers = tables.responses(spark, sf_dir, _read(spark, sf_dir, "lineitem"))
-    rows = _finish(requests.request_outcomes_join(orders, answers, 300, IN_ORDER), "joined")
-    return rows.select("request_id", "subsystem", F.equal_null("kind", F.lit("timeout")).alias("timed_out"))
+    rows = run_to_end(lambda q, a: requests.request_outcomes_join(q, a, 300, IN_ORDER), _name("joined"), *_requests(spark, sf_dir))
+    return rows.where("request_id <> -1").select("request_id", "subsystem", F.equal_null("kind", F.lit("timeout")).alias("timed_out"))

@@ -41,8 +41,11 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+    """The shared folder the cluster names; a temporary one only where none is named and all runs on one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or _own_dir()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable, Mapping
+from typing import Any
+
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from keyfold.session import shared_dir
 
+#: Later than any timer, window or deadline.
+END = dt.datetime(9000, 1, 1)
 
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
@@ -36,3 +43,27 @@ def run_available(stream: DataFrame, name: str, partitions: int | None = None, e
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set(NO_DATA, no_data)
     return spark.read.schema(stream.schema).parquet(f"{home}/rows")
+
+
+def run_to_end(build: Callable[..., DataFrame], name: str, *inputs: tuple[DataFrame, Mapping[str, Any]]) -> DataFrame:
+    """Run a stream of event time over all of its input and close what is still open then.
+
+    A watermark only passes what later records have overtaken, so windows, timers and
+    deadlines behind the last record stay open. ``build`` makes the stream from inputs that
+    each end with a marker: the given values, a key of its own and ``ts`` at ``END`` among
+    them. Markers are read by a second run, from the first one's checkpoint, once every
+    record is in the state. The stream is closed for good: what comes later is late.
+    Rows of the marker's own key are the caller's to drop.
+    """
+    spark, ended, markers = inputs[0][0].sparkSession, [], []
+    for i, (stream, values) in enumerate(inputs):
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
+        folder = f"{shared_dir(spark)}/{name}-end{i}"
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(folder)
+        ended.append(stream.unionByName(spark.readStream.schema(schema).parquet(folder)))
+        markers.append((folder, spark.createDataFrame([tuple(values.get(f.name) for f in schema.fields)], schema)))
+    stream = build(*ended)
+    run_available(stream, name)
+    for folder, marker in markers:
+        marker.write.mode("append").parquet(folder)
+    return run_available(stream, name)

@@ -17,7 +17,7 @@ from keyfold.streaming import handlers
 from keyfold.streaming.dedup import dedup_stream, dedup_within_watermark
 from keyfold.streaming.handler import run_stream
 from keyfold.streaming.requests import request_outcomes_join, request_outcomes_stream
-from keyfold.streaming.run import run_available
+from keyfold.streaming.run import END, run_available, run_to_end
 
 
 def test_dedup(spark, tmp_path):
@@ -126,3 +126,35 @@ def test_dead_letters_per_batch(spark, tmp_path):
     write(routed, 0)
     back = spark.read.parquet(str(tmp_path / "dlq"))
     assert rows(back, "topic", "from_topic", "key", "record_no") == [("failed", "t", "a", 1)]
+
+
+def test_streams_run_to_their_end(spark, tmp_path):
+    log = [("hot" if i % 2 else f"k{i % 3}", i, i * 2, None if i % 17 == 9 else "{}") for i in range(40)]
+    frames = [records(spark, log[a:b]) for a, b in zip([0, 13, 30], [13, 30, 40])]
+    handler = handlers.WindowNotify(15, 3)
+    last = {"topic": "end", "part": 0, "off": -1, "ts": END, "key": "end"}
+    got = run_to_end(lambda r: run_stream(r, handler, handler.collections, watermark="0 seconds"), f"ended-{tmp_path.name}",
+                     (micro_batches(spark, tmp_path, frames), last))
+    body = F.from_json("body", "kind string, ids array<bigint>")
+    sent = got.where("kind = 'emit'").select("key", body.alias("b")).select("key", "b.kind", F.array_join("b.ids", ",").alias("ids"))
+    table = records(spark, log).withColumns({"event_id": F.col("off"), "gone": F.col("payload").isNull()})
+    want = window_notify(table, 15, 3, excise="gone").select("key", "kind", F.array_join("event_ids", ",").alias("ids"))
+    assert rows(sent, "key", "kind", "ids") == rows(want, "key", "kind", "ids")
+
+
+def test_requests_run_to_their_end(spark, tmp_path):
+    asked = spark.createDataFrame([(i, at(i * 5), ["a", "b"], 10_000) for i in range(1, 9)],
+                                  "request_id long, ts timestamp, subsystems array<string>, timeout_ms long")
+    steps = [[(1, "a", 6, 0), (2, "b", 11, 1)], [(3, "a", 30, 2), (5, "a", 26, 3)], [(8, "a", 45, 4), (8, "a", 44, 5)]]
+    frames = [spark.createDataFrame([(q, s, at(t), n, True, str(n), None, None) for q, s, t, n in step],
+                                    f"request_id long, subsystem string, ts timestamp, resp_no long, {BODY}") for step in steps]
+    (tmp_path / "asked").mkdir()
+    (tmp_path / "answers").mkdir()
+    last = {"request_id": -1, "ts": END}
+    got = run_to_end(
+        lambda q, a: request_outcomes_stream(q, a, "60 seconds"), f"all-{tmp_path.name}",
+        (micro_batches(spark, tmp_path / "asked", [asked.where(f"request_id % 3 = {i}") for i in range(3)]), last | {"subsystems": ["end"], "timeout_ms": 0}),
+        (micro_batches(spark, tmp_path / "answers", frames), last | {"subsystem": "end", "resp_no": 0})).where("request_id <> -1")
+    want = request_outcomes(asked, frames[0].unionAll(frames[1]).unionAll(frames[2]))
+    columns = ["request_id", "subsystem", "ok", "value", "kind", "resp_ts"]
+    assert want.count() == 16 and rows(got, *columns) == rows(want, *columns)
