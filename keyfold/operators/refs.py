@@ -17,6 +17,15 @@ from keyfold.operators.values import value_latest
 from keyfold.schema import OP_KEY
 
 MESSAGE_COLUMNS = ("ts", "key", "payload")
+#: Column of logs stored in folders by range of offsets (``sources.log.write_chunked_log``).
+CHUNK = "off_chunk"
+CHUNK_OFFSETS = 1 << 20
+
+
+def offset_chunk(off: Column | str, offsets: int = CHUNK_OFFSETS) -> Column:
+    """The range of offsets that an offset lies in, by number."""
+    off = F.col(off) if isinstance(off, str) else off
+    return F.floor(off / F.lit(offsets)).cast("bigint")
 
 
 def ref(topic: str = "topic", part: str = "part", off: str = "off") -> Column:
@@ -30,22 +39,32 @@ def resolve_refs(
     log: DataFrame,
     item: str = "item",
     columns: Sequence[str] = MESSAGE_COLUMNS,
+    chunk_offsets: int = CHUNK_OFFSETS,
 ) -> DataFrame:
     """Replace each reference by ``message``, null when the log no longer has it.
 
     Spark broadcasts the references where its size check allows it and otherwise
-    shuffles both sides on the record position, which is unique per record.
+    shuffles both sides on the record position, which is unique per record. Of a log
+    stored by ranges of offsets (a column ``off_chunk`` of ``chunk_offsets`` each) only
+    the folders that broadcast references point into are read, whatever the log's size.
     """
+    chunked = CHUNK in log.columns
     found = log.select(
         F.struct("topic", "part", "off", *columns).alias("message"),
         F.col("topic").alias("_topic"), F.col("part").alias("_part"), F.col("off").alias("_off"),
+        *([F.col(CHUNK).alias("_chunk")] if chunked else []),
     )
     at = F.col(item)
-    return refs.join(
-        found,
-        (at["topic"] == F.col("_topic")) & (at["part"] == F.col("_part")) & (at["off"] == F.col("_off")),
-        "left",
-    ).drop("_topic", "_part", "_off")
+    same = (at["topic"] == F.col("_topic")) & (at["part"] == F.col("_part")) & (at["off"] == F.col("_off"))
+    if not chunked:
+        return refs.join(found, same, "left").drop("_topic", "_part", "_off")
+    # Folders are pruned while the query runs, by the positions asked for: an inner join may
+    # broadcast them, where they are small, and so tell the scan of the log before it starts.
+    asked = refs.select(at["topic"].alias("_of_topic"), at["part"].alias("_of_part"), at["off"].alias("_of_off")).where("_of_off >= 0").distinct()
+    asked = asked.withColumn("_of_chunk", offset_chunk("_of_off", chunk_offsets))
+    place = (F.col("_of_topic") == F.col("_topic")) & (F.col("_of_part") == F.col("_part")) & (F.col("_of_chunk") == F.col("_chunk"))
+    hits = found.join(asked, place & (F.col("_of_off") == F.col("_off"))).select("message", "_topic", "_part", "_off")
+    return refs.join(hits, same, "left").drop("_topic", "_part", "_off")
 
 
 def message_value(ops: DataFrame, log: DataFrame, by: Sequence[str] = OP_KEY) -> DataFrame:

@@ -248,6 +248,8 @@ ORACLES = {
     "resolve_refs": sql("ev", """SELECT key, event_id AS seq, event_id % 10 <> 3 AS found,
         CASE WHEN event_id % 10 <> 3 AND event_id % 97 <> 96 THEN value END AS item,
         CASE WHEN event_id % 10 <> 3 THEN ts END AS ts FROM ev"""),
+    "resolve_refs_chunked": sql("ev", """SELECT key, event_id AS seq, event_id % 10 <> 3 AS found, CASE WHEN event_id % 10 <> 3 THEN ts END AS ts
+        FROM ev QUALIFY row_number() OVER (PARTITION BY key ORDER BY event_id DESC) = 1"""),
     "published_snapshot": sql("records readable", """SELECT key, seq, item FROM (
         SELECT key, off AS seq, item, row_number() OVER (PARTITION BY key ORDER BY off DESC) AS r
         FROM records JOIN readable ON readable.collection = records.type AND subsystem = 'checkout'

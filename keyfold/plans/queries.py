@@ -120,6 +120,17 @@ def resolve_refs(spark, sf_dir):
     )
 
 
+@query
+def resolve_refs_chunked(spark, sf_dir):
+    """The latest message of each key, from a log stored by ranges of offsets."""
+    path = f"{shared_dir(spark)}/chunked-{uuid.uuid4().hex}"
+    kept = tables.records(spark, sf_dir).where("off % 10 <> 3").select(*RECORD.fieldNames())
+    log.write_chunked_log(kept, path, 1000)
+    ops = tables.message_ops(spark, sf_dir).withColumn("op", F.lit("set"))
+    found = refs.resolve_refs(values.value_latest(ops), log.read_chunked_log(spark, path), columns=["ts"], chunk_offsets=1000)
+    return found.select("key", "seq", F.col("message").isNotNull().alias("found"), F.col("message.ts").alias("ts"))
+
+
 @query
 def published_snapshot(spark, sf_dir):
     rows = tables.records(spark, sf_dir).where("source_system IS NOT NULL AND item IS NOT NULL")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.functions.payload import encode_payload, with_event_metadata
+from keyfold.operators.refs import CHUNK, CHUNK_OFFSETS, offset_chunk
 from keyfold.schema import ATTEMPT, RECORD
 
 SOURCE_HEADER = "source-system"
@@ -74,6 +75,22 @@ def read_attempts(
     return reader.options(**(options or {})).load(path)
 
 
+def write_chunked_log(log: DataFrame, path: str, chunk_offsets: int = CHUNK_OFFSETS) -> None:
+    """Writes records in a folder per topic, partition and range of ``chunk_offsets`` offsets.
+
+    References then find their records without a scan of the log (``operators.refs``).
+    Rows of one range are spread over a few files by their offset, in order.
+    """
+    rows = log.withColumn(CHUNK, offset_chunk("off", chunk_offsets))
+    place = ["topic", "part", CHUNK]
+    rows.repartitionByRange(*place, "off").sortWithinPartitions(*place, "off").write.partitionBy(*place).parquet(path)
+
+
+def read_chunked_log(spark: SparkSession, path: str) -> DataFrame:
+    """Records in canonical columns, and the range of offsets they are stored by."""
+    return spark.read.schema(T.StructType([*RECORD.fields, T.StructField(CHUNK, T.LongType())])).parquet(path)
+
+
 def split_excise(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Messages, and excise records (a key without a payload)."""
     return log.where(F.col("payload").isNotNull()), log.where(F.col("payload").isNull())

@@ -6,7 +6,9 @@ import pytest
 from fixtures import at
 from pyspark.sql import functions as F
 
-from keyfold.operators import intervals, published, txn, versions
+from keyfold.operators import intervals, published, refs, txn, versions
+from keyfold.schema import RECORD
+from keyfold.sources.log import read_chunked_log, write_chunked_log
 from keyfold.sources.published import append_versions, read_versions
 
 KEYS = ["a", "b", None]
@@ -169,3 +171,33 @@ def test_spans_meet_instants_once(spark):
     assert sorted((r.i, r.s) for r in met.collect()) == want and len(want) > 500
     one = spark.range(1).select(F.size(intervals.cover(F.lit(1), F.lit(1 << 58))).alias("n")).first().n
     assert one <= 2 + 2 * intervals.DEPTH
+
+
+def test_references_read_only_the_folders_they_point_into(spark, tmp_path):
+    rows = [("t", p, off, at(off), f"k{off % 7}", f'{{"n":{off}}}', None) for p in (0, 1) for off in range(400)]
+    log = spark.createDataFrame(rows, RECORD)
+    write_chunked_log(log.where("off <> 55"), f"{tmp_path}/log", 10)
+    asked = spark.createDataFrame([(1, ("t", 0, 51)), (2, ("t", 0, 55)), (3, ("t", 1, 399)), (4, None), (5, ("t", 0, -3)), (6, ("u", 0, 1)), (7, ("t", 0, 51))],
+                                  "n int, item struct<topic: string, part: int, off: long>")
+    asked.coalesce(1).write.parquet(f"{tmp_path}/asked")
+    asked = spark.read.parquet(f"{tmp_path}/asked")
+    conf = {"spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = refs.resolve_refs(asked, read_chunked_log(spark, f"{tmp_path}/log"), columns=["ts"], chunk_offsets=10)
+        got = {r.n: r.message for r in found.collect()}
+        plan, files = found._jdf.queryExecution().executedPlan(), []
+        leaves = plan.collectLeaves()
+        for i in range(leaves.size()):
+            metrics = leaves.apply(i).metrics()
+            if metrics.contains("numFiles"):
+                files.append(metrics.apply("numFiles").value())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {n: None if m is None else (m.topic, m.part, m.off, m.ts) for n, m in got.items()} == {
+        1: ("t", 0, 51, at(51)), 2: None, 3: ("t", 1, 399, at(399)), 4: None, 5: None, 6: None, 7: ("t", 0, 51, at(51))}
+    # of 80 folders two hold what is asked for; the references' own file is read more than once
+    assert sum(files) < 10
