@@ -88,6 +88,9 @@ def test_pages_lose_lines_shared_with_the_nearest_page(spark):
     assert got[4] == got[5] == ("", 0)
     assert got[6][0].count("\n") == 2  # copies of each other, not one template
     assert pages.extract(frame.limit(0)).count() == 0
+    for kind in ("int", "string"):
+        other = {r.page_id: r.text for r in pages.extract(frame.withColumn("page_id", F.col("page_id").cast(kind))).collect()}
+        assert other[1 if kind == "int" else "1"] == one and len(other) == 7
 
 
 def test_quality_holds_out_and_separates(spark, docs):
