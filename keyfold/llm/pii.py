@@ -4,9 +4,12 @@ The patterns give base spans, which stay. The field then labels the tokens that
 digit or an at sign. Neighbouring tokens share chain potentials. Tokens of a document
 share skip potentials, however far apart they stand, where they are equal, or hold the
 same digits of runs of number tokens that end in the same seven digits or the same four
-numbers up to 255: one token, or several side by side. Loopy message passing spreads a
-label found once to the same entity written elsewhere. Tokens of base spans are observed;
-tokens without digit or at sign are observed as outside. A token is taken by its posterior.
+numbers up to 255: one token, or several side by side. All tokens that skip links connect
+are one group, however many they are: each has a skip potential with every token of a base
+span among them, and without base spans each has one with a hub, a variable of the group.
+So no label fades from repeat to repeat, and work is linear in them. Messages are passed
+until they settle. Tokens of base spans are observed; tokens without digit or at sign are observed
+as outside. A token is taken by its posterior.
 
 Weights are learned piecewise from base spans of a bounded sample: token potentials by
 multinomial logistic regression, chain and skip potentials as log odds of label pairs.
@@ -34,7 +37,8 @@ KINDS = ("email", "ip", "card", "phone")
 OUTSIDE, LABELS = 0, 5
 #: Posterior from which a token is taken.
 SURE = 0.9
-ROUNDS = 8
+#: Messages are passed until none changes by more than this, in at most so many rounds.
+SETTLED, ROUNDS = 1e-3, 200
 #: Linked pairs of each label alike that the fit starts from: numbers that recur are rarely of two kinds.
 ALIKE = 50
 
@@ -44,12 +48,19 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _ANY = re.compile(r"[0-9@]")
-_TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
+# Starts at blanks only: a long run without digits is read once.
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _SPACE_BEFORE = re.compile(r"[^\s]+\s+\Z")
 _DIGITS = re.compile(r"[0-9]")
 _GROUPS = re.compile(r"[0-9]+")
 
 
+def octet(digits: str) -> bool:
+    """Whether a number is at most 255, with however many zeros before it."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or 0) <= 255
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -75,7 +86,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             done = m.end()
         at = text.find("@", max(at + 1, done))
     if "." in text:
-        found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+        found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(map(octet, m[0].split(".")))]
     for m in _CARD.finditer(text):
         if 14 <= m.end() - m.start():
             digits = m[0].replace(" ", "").replace("-", "")
@@ -148,9 +159,9 @@ class _Runs:
         """(token, number) of the address that the run up to token i ends with, last first; or none."""
         out = []
         for j, group in self.back(i):
-            if len(group.lstrip("0")) > 3 or int(group) > 255:
+            if not octet(group):
                 break
-            out.append((j, str(int(group))))
+            out.append((j, group.lstrip("0") or "0"))
             if len(out) == 4:
                 return out
         return []
@@ -277,24 +288,66 @@ def fit(sample: Counter, steps: int = 200) -> Field:
     return Field(weights, odds(chain), odds(skip))
 
 
-def posterior(t: Tokens, field: Field, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of each token by damped loopy sum-product."""
-    n = len(t.start)
+def groups_of(n: int, links: list[tuple[int, int]]) -> list[list[int]]:
+    """Tokens that links connect, by group."""
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    groups: dict[int, list[int]] = {}
+    for i in sorted({i for link in links for i in link}):
+        groups.setdefault(find(i), []).append(i)
+    return list(groups.values())
+
+
+def network(t: Tokens, field: Field):
+    """Log potentials: of each token and hub by label, and of edges (first, second, pair table).
+
+    Observed tokens send no more than a known potential to the others of their group, so
+    it is added to these at once. Hubs, of groups with none observed, follow the tokens;
+    a group of two needs no hub.
+    """
+    n, linked = len(t.start), groups_of(len(t.start), t.skip)
+    fixed, label = np.array(t.observed, dtype=bool), np.array(t.label, dtype=np.int64)
     unary = t.shape @ field.token
-    fixed = np.array(t.observed)
     unary[fixed] = -30.0
-    unary[fixed, np.array(t.label)[fixed]] = 0.0
+    unary[fixed, label[fixed]] = 0.0
+    near, hub = np.flatnonzero(t.chain), n
+    a, b = [near - 1], [near]
+    for group in map(np.array, linked):
+        seen = fixed[group]
+        if seen.any():
+            unary[group[~seen]] += field.skip[label[group[seen]]].sum(0)
+        elif len(group) == 2:
+            a.append(group[:1]), b.append(group[1:])
+        else:
+            a.append(np.full(len(group), hub)), b.append(group)
+            hub += 1
+    unary = np.concatenate([unary, np.zeros((hub - n, LABELS))])
+    a, b = np.concatenate(a), np.concatenate(b)
+    psi = np.concatenate([np.repeat(field.chain[None], len(near), 0), np.repeat(field.skip[None], len(a) - len(near), 0)])
+    return unary, a, b, psi
+
+
+def posterior(t: Tokens, field: Field, rounds: int = ROUNDS) -> np.ndarray:
+    """Label probabilities of each token by loopy sum-product, exact where chains, pairs and hubs form no loop."""
+    n = len(t.start)
+    unary, a, b, psi = network(t, field)
     unary -= unary.max(1, keepdims=True)
-    near = np.flatnonzero(t.chain)
-    a = np.concatenate([near - 1, [s for s, _ in t.skip]]).astype(np.int64)
-    b = np.concatenate([near, [e for _, e in t.skip]]).astype(np.int64)
     m = len(a)
     if m:
-        psi = np.concatenate([np.repeat(field.chain[None], len(near), 0), np.repeat(field.skip[None], len(t.skip), 0)])
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
         psi = np.concatenate([psi, psi.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
         message = np.zeros((2 * m, LABELS))
+        kept = 0.5 if 0 < sum(t.chain) < m else 0.0  # only loops need damping
         for _ in range(rounds):
             belief = unary.copy()
             np.add.at(belief, target, message)
@@ -302,9 +355,12 @@ def posterior(t: Tokens, field: Field, rounds: int = ROUNDS) -> np.ndarray:
             top = out.max(1)
             new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
             new -= new.max(1, keepdims=True)
-            message = 0.5 * message + 0.5 * new
+            new = kept * message + (1 - kept) * new
+            change, message = np.abs(new - message).max(), new
+            if change < SETTLED:
+                break
         np.add.at(unary, target, message)
-    p = np.exp(unary - unary.max(1, keepdims=True))
+    p = np.exp(unary[:n] - unary[:n].max(1, keepdims=True))
     return p / p.sum(1, keepdims=True) if n else p
 
 
@@ -341,9 +397,17 @@ def added_spans(text: str, base: list[tuple[int, int, int]], field: Field, sure:
 
 
 def train(docs: DataFrame, doc_id: str, text: str, rows: int = SAMPLE_ROWS) -> Field:
-    """Fit on the ``rows`` documents with candidate tokens that come first by hash of id and text."""
-    chosen = (docs.select(F.xxhash64(doc_id, text).alias("rank"), F.col(text).alias("body"))
-              .where(F.col("body").rlike("[0-9]{3}|@")).orderBy("rank").limit(rows))
+    """Fit on the ``rows`` documents with candidate tokens that come first by hash of id and text.
+
+    Ranks alone are sorted; the last one taken is the threshold under which texts are
+    read, in the tasks that hold them. Repeated rows count once.
+    """
+    ranked = docs.select(F.xxhash64(doc_id, text).alias("rank"), F.col(text).alias("body"))
+    candidates = ranked.where(F.col("body").rlike("[0-9]{3}|@"))
+    last = candidates.select("rank").distinct().orderBy("rank").limit(rows).agg(F.max("rank")).first()[0]
+    if last is None:
+        return fit(Counter())
+    chosen = candidates.where(F.col("rank") <= last).dropDuplicates(["rank"])
 
     def extract(batches):
         for batch in batches:
@@ -356,8 +420,7 @@ def train(docs: DataFrame, doc_id: str, text: str, rows: int = SAMPLE_ROWS) -> F
                     pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array([k[2] for k in keys], pa.int32()),
                     pa.array([found[k] for k in keys], pa.int64())], names=["what", "key", "label", "n"])
 
-    # A sort of short rows would be enough, were texts not needed; at most ``rows`` texts pass on.
-    got = (chosen.repartition(8).mapInArrow(extract, "what string, key binary, label int, n bigint")
+    got = (chosen.mapInArrow(extract, "what string, key binary, label int, n bigint")
            .groupBy("what", "key", "label").agg(F.sum("n").alias("n")).collect())
     return fit(Counter({(r.what, bytes(r.key), r.label): r.n for r in got}))
 
