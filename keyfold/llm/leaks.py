@@ -164,3 +164,8 @@ def summary(found: DataFrame) -> DataFrame:
         "items_sha256": F.sha2(F.array_join("hit_items", ",").cast("binary"), 256),
         "contaminated": hit > 0,
     })
+
+
+def written(spans: str):
+    """Spans as text: start:end, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -100,7 +100,48 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGIN
   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
     ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
 
+_LEAKS = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), {_UP}, {_DOWN}) AS text FROM documents),
+pieces AS (SELECT rid, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS piece,
+    generate_subscripts(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), 1) AS nr FROM d),
+placed AS (SELECT rid, piece, nr, sum(length(piece)) OVER (PARTITION BY rid ORDER BY nr) AS stop FROM pieces),
+w AS (SELECT rid, piece AS word, row_number() OVER (PARTITION BY rid ORDER BY nr) AS pos, CAST(stop - length(piece) AS BIGINT) AS start,
+    CAST(stop AS BIGINT) AS stop FROM placed WHERE regexp_matches(piece, '^[^\x00-\x2F\x3A-\x60\x7B-\x7F]')),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, {_UP}, {_DOWN}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(words[i:i + 9], ' ') AS body
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+lists AS (SELECT rid, list(word ORDER BY pos) AS words FROM w GROUP BY rid),
+hits AS (SELECT rid, pos, n, item FROM (
+    SELECT rid, n, i AS pos, array_to_string(words[i:i + n - 1], ' ') AS body
+    FROM (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM lists, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)) x
+  JOIN windows USING (n, body)),
+covered AS (SELECT DISTINCT rid, unnest(range(pos, pos + n)) AS pos FROM hits),
+runs AS (SELECT rid, min(start) || ':' || max(stop) AS span, min(pos) AS pos, count(*) AS n FROM (
+    SELECT rid, pos, start, stop, pos - row_number() OVER (PARTITION BY rid ORDER BY pos) AS run FROM covered JOIN w USING (rid, pos)) GROUP BY rid, run),
+spans AS (SELECT rid, sum(n) AS n_hit, string_agg(span, ',' ORDER BY pos) AS hit_spans FROM runs GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM hits WHERE item IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(len(words), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(hit_spans, '') AS hit_spans
+FROM d LEFT JOIN lists USING (rid) LEFT JOIN spans USING (rid) LEFT JOIN items USING (rid)"""
+
+_NEAR = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_DOWN}), {_WORD}) AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct([array_to_string(w[i:i + 1], ' ') FOR i IN range(1, greatest(len(w), 2))])) END AS shingles FROM d),
+reps AS (SELECT min(doc_id) AS rep, shingles, len(shingles) AS n FROM s WHERE len(shingles) > 0 GROUP BY shingles),
+g AS (SELECT rep, n, unnest(shingles) AS shingle FROM reps),
+shared AS (SELECT a.rep AS a, b.rep AS b, count(*) AS n, any_value(a.n) AS x, any_value(b.n) AS y
+  FROM g a JOIN g b ON a.shingle = b.shingle AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared WHERE 100 * n >= 80 * (x + y - n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(a, b) AS (SELECT a, b FROM both_ways UNION SELECT reached.a, l.b FROM reached JOIN both_ways l ON reached.b = l.a),
+named AS (SELECT a AS rep, least(a, min(b)) AS component FROM reached GROUP BY a)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(component, rep, s.doc_id) AS component_id,
+  s.doc_id = coalesce(component, rep, s.doc_id) AS kept
+FROM s LEFT JOIN reps ON len(s.shingles) > 0 AND s.shingles = reps.shingles LEFT JOIN named USING (rep)"""
+
 ORACLES = {
+    "op4_minhash": _NEAR,
+    "op5_decontaminate": _LEAKS,
     "op11_source_divergence": _DIVERGENCE,
     "op12_adaptive_rules": _ADAPTIVE,
     "op13_fill_in_middle": _INFILL,

@@ -51,7 +51,8 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = leaks.summary(leaks.find_leaks(docs, table(spark, sf_dir, "benchmark")))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                        leaks.written("hit_spans").alias("hit_spans"))
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
