@@ -56,15 +56,28 @@ def dedup_ttl(
     ttl_seconds: int = SEVEN_DAYS_S,
     event_id: str = "event_id",
     by: Sequence[str] = KEY,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """Keep a record unless one with its ``(key, id)`` was kept within the TTL.
 
     A skipped duplicate does not prolong the time. Records without id all stay.
+    ``seen`` tells which ids were kept before these records, with their key, id and
+    time (``kept_us``; the latest counts). A record that arrives after one of a later
+    time was kept is its duplicate.
     """
     group = [*by, event_id]
     named = records.where(F.col(event_id).isNotNull()).withColumn("_us", micros("ts"))
+    times = named
+    if seen is not None:
+        latest = seen.groupBy(*group).agg(F.max("kept_us").alias("_kept_us"))
+        named = join_on(named, latest, group, "left").where(
+            F.col("_kept_us").isNull() | F.col("_us").isNull() | (F.col("_us") > F.col("_kept_us"))
+        )
+        # What was kept opens the window it opened in its own run.
+        times = named.select(*group, "part", "off", F.explode(F.array_distinct(
+            F.array_compact(F.array("_kept_us", "_us")))).alias("_us"))
     kept = (
-        anchored_slots(named, group, "_us", ttl_seconds * 1_000_000)
+        anchored_slots(times, group, "_us", ttl_seconds * 1_000_000)
         .where("opens")
         .select(*group, F.col("start_us").alias("_us"))
     )

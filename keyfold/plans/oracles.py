@@ -489,3 +489,4 @@ ORACLES = {
 }
 ORACLES["keyed_counter_handler"] = ORACLES["keyed_counter"]
 ORACLES["dedup_stream"] = ORACLES["dedup_ttl"]
+ORACLES["dedup_runs"] = ORACLES["dedup_ttl"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.functions import errors, filters, payload
-from keyfold.functions.times import round_timer
+from keyfold.functions.times import micros, round_timer
 from keyfold.operators import (
     anchored, deques, excise, failures, maps, published, refs, requests, sequence, timers, txn,
     values, versions, windows,
@@ -22,6 +22,7 @@ from keyfold.schema import ATTEMPT, RECORD
 from keyfold.session import shared_dir
 from keyfold.sources import log
 from keyfold.sources.published import append_versions, read_published, read_versions
+from keyfold.sources.seen import append_kept
 
 ASOF = dt.datetime(2024, 1, 20)
 SIX_HOURS_S = 6 * 3600
@@ -236,6 +237,20 @@ def dedup_ttl(spark, sf_dir):
     return sequence.dedup_ttl(rows, event_id="type").select("key", "off", "type")
 
 
+@query
+def dedup_runs(spark, sf_dir):
+    """What ten runs keep, each over the records of its time and the ids that those before it kept."""
+    rows = tables.records(spark, sf_dir).select("topic", "part", "off", "ts", "key", "type")
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    low, high = rows.agg(F.min(micros("ts")), F.max(micros("ts"))).first()
+    if low is None:
+        return rows.select("key", "off", "type")
+    turn = F.floor((micros("ts") - low) * 10 / (high - low + 1))
+    for run in range(10):
+        append_kept(rows.where(turn == run), path, run, event_id="type")
+    return spark.read.schema(rows.schema).parquet(f"{path}/kept").select("key", "off", "type")
+
+
 @query
 def dedup_version(spark, sf_dir):
     rows = tables.records(spark, sf_dir).select("topic", "off", "key", "dup_id")
