@@ -201,3 +201,63 @@ def test_references_read_only_the_folders_they_point_into(spark, tmp_path):
         1: ("t", 0, 51, at(51)), 2: None, 3: ("t", 1, 399, at(399)), 4: None, 5: None, 6: None, 7: ("t", 0, 51, at(51))}
     # of 80 folders two hold what is asked for; the references' own file is read more than once
     assert sum(files) < 10
+
+
+def by_itself(frame):
+    """The plan as Spark makes it before a query runs, without tables cut off by a checkpoint."""
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_and_instants_of_small_files_are_not_sent_through_the_driver(spark, tmp_path):
+    spark.createDataFrame([("a", 1, 0, None)], "key string, s long, from_us long, to_us long").write.parquet(f"{tmp_path}/spans")
+    spark.createDataFrame([("a", 1, 5)], "key string, i long, at long").write.parquet(f"{tmp_path}/instants")
+    spans, instants = spark.read.parquet(f"{tmp_path}/spans"), spark.read.parquet(f"{tmp_path}/instants")
+    met = intervals.stab(instants, spans, ["key"], "at")
+    assert [(r.i, r.s) for r in met.collect()] == [(1, 1)]
+    assert "BroadcastExchange" not in by_itself(met)
+    least = intervals.least_held(instants, spans, ["key"], "at", "i", "s")
+    assert [(r.i, r.s) for r in least.collect()] == [(1, 1)]
+    assert "BroadcastExchange" not in by_itself(least)
+
+
+def test_the_least_span_needs_no_pairs(spark, tmp_path):
+    """Every change and every lookup in one collection: pairs of both would be their product."""
+    n = 300
+    changes = spark.range(n).selectExpr(
+        "'s' subsystem", "'c' collection", "'json' payload", "true published", "concat('g', 1000 - id) group_id",
+        "timestamp_seconds(id) ts", "id seq")
+    asked = spark.range(n).selectExpr("id lookup_id", "'s' subsystem", "'c' collection", f"timestamp_seconds({n} + id) read_ts")
+    found = published.serving_group(asked, changes)
+    assert {r.group_id for r in found.collect()} == {"g1000"}
+    leaves, most = [found._jdf.queryExecution().executedPlan()], 0
+    while leaves:
+        node = leaves.pop()
+        if node.metrics().contains("numOutputRows"):
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        children = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan() if "QueryStage" in node.nodeName() else None
+        if children is not None:
+            leaves.append(children)
+        for i in range(node.children().size()):
+            leaves.append(node.children().apply(i))
+    assert 0 < most < n * n / 10
+
+
+def test_least_held_by_brute_force(spark):
+    rng = random.Random(21)
+    size = intervals.LEAF_US
+    spans, instants = [], []
+    for n in range(300):
+        start = rng.choice([None, rng.randrange(-20, 3000) * size // rng.choice([1, 7, 1000]) + rng.choice([0, 0, 1, -1])])
+        end = None if start is None else rng.choice([start, start + 1, start + size, start + rng.randrange(1, 900) * size // rng.choice([1, 3]), None])
+        spans.append((rng.choice(["a", "b", None]), rng.choice([None, f"g{rng.randrange(40)}", "é", "\U0001f600", "￮"]), start, end))
+    for n in range(400):
+        near = rng.choice(spans)
+        instants.append((rng.choice(["a", "b", "c", None]), n // 2, rng.choice([None, near[2], (near[2] or 0) - 1, near[3] or 0, rng.randrange(-30, 4000) * size])))
+    got = intervals.least_held(spark.createDataFrame(instants, "key string, i long, at long"),
+                               spark.createDataFrame(spans, "key string, g string, from_us long, to_us long"), ["key"], "at", "i", "g").collect()
+
+    def least(k, t):
+        return min((g for q, g, a, b in spans if k == q and g is not None and a is not None and a <= t and (b is None or t < b)), default=None)
+
+    want = [(i, least(k, t)) for k, i, t in instants if t is not None]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr) and sum(g is not None for _, g in want) > 100
