@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from keyfold.functions.times import from_micros, micros
 from keyfold.operators import versions
 from keyfold.operators.anchored import MILLISECOND_US, assign_windows
-from keyfold.operators.intervals import stab
+from keyfold.operators.intervals import least_held, stab
 from keyfold.operators.joins import join_on
 from keyfold.operators.scan import asof_join
 from keyfold.schema import OP_KEY
@@ -100,7 +100,8 @@ def serving_group(lookups: DataFrame, changes: DataFrame) -> DataFrame:
     """
     spans = publications(changes).select("subsystem", "collection", F.col("item").alias("group_id"), "from_us", "to_us")
     asked = lookups.select("lookup_id", "subsystem", "collection", micros("read_ts").alias("_at"))
-    least = stab(asked, spans, ["subsystem", "collection"], "_at").groupBy("lookup_id").agg(F.min("group_id").alias("group_id"))
+    found = least_held(asked, spans, ["subsystem", "collection"], "_at", "lookup_id", "group_id")
+    least = found.groupBy("lookup_id").agg(F.min("group_id").alias("group_id"))
     return lookups.join(least, "lookup_id", "left")
 
 
