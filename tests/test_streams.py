@@ -158,3 +158,42 @@ def test_requests_run_to_their_end(spark, tmp_path):
     want = request_outcomes(asked, frames[0].unionAll(frames[1]).unionAll(frames[2]))
     columns = ["request_id", "subsystem", "ok", "value", "kind", "resp_ts"]
     assert want.count() == 16 and rows(got, *columns) == rows(want, *columns)
+
+
+def test_a_request_is_one_key_with_one_timer(spark, tmp_path):
+    asked = spark.createDataFrame([(i, at(i), ["a", "b", "c", "b"], 10_000) for i in range(5)],
+                                  "request_id long, ts timestamp, subsystems array<string>, timeout_ms long")
+    steps = [[(i, s, i + n, n) for i in range(5) for n, s in enumerate("abx")], [(i, "x", 6, 100 + n) for i in range(5) for n in range(40)]]
+    frames = [spark.createDataFrame([(q, s, at(t), n, True, str(n), None, None) for q, s, t, n in step],
+                                    f"request_id long, subsystem string, ts timestamp, resp_no long, {BODY}") for step in steps]
+    (tmp_path / "asked").mkdir()
+    (tmp_path / "answers").mkdir()
+    stream = request_outcomes_stream(micro_batches(spark, tmp_path / "asked", [asked]), micro_batches(spark, tmp_path / "answers", frames), "60 seconds")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 2)
+    try:
+        query = (stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint").option("path", f"{tmp_path}/rows")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    first = query.recentProgress[0].stateOperators[0]
+    assert first.customMetrics["numRegisteredTimers"] == 5 and first.numRowsUpdated == 5
+
+
+def test_a_request_asked_for_again_finds_what_waited(spark, tmp_path):
+    """Responses come before the request, more of them than a row of state holds, and a second request asks for more."""
+    asks = [[(1, at(5), ["a"], 20_000)], [(2, at(6), ["a"], 20_000)], [(1, at(7), ["b", "a"], 20_000), (3, at(8), None, 20_000)]]
+    frames = [spark.createDataFrame(a, "request_id long, ts timestamp, subsystems array<string>, timeout_ms long") for a in asks]
+    answers = [[(1, s, 9 + n % 3, 100 - n) for s in "bc" for n in range(30)], [(1, "a", 12, 1), (2, "b", 12, 2)], [(2, "a", 40, 3)]]
+    told = [spark.createDataFrame([(q, s, at(t), n, True, str(n), None, None) for q, s, t, n in step],
+                                  f"request_id long, subsystem string, ts timestamp, resp_no long, {BODY}") for step in answers]
+    (tmp_path / "asked").mkdir()
+    (tmp_path / "answers").mkdir()
+    last = {"request_id": -1, "ts": END}
+    got = run_to_end(
+        lambda q, a: request_outcomes_stream(q, a, "600 seconds"), f"again-{tmp_path.name}",
+        (micro_batches(spark, tmp_path / "asked", frames), last | {"subsystems": ["end"], "timeout_ms": 0}),
+        (micro_batches(spark, tmp_path / "answers", told), last | {"subsystem": "end", "resp_no": 0})).where("request_id <> -1")
+    assert rows(got, "request_id", "subsystem", "value", "kind") == sorted([
+        (1, "a", "1", None), (1, "b", "73", None), (2, "a", None, "timeout")], key=repr)
