@@ -17,9 +17,11 @@ from keyfold.operators.values import value_latest
 from keyfold.schema import OP_KEY
 
 MESSAGE_COLUMNS = ("ts", "key", "payload")
-#: Column of logs stored in folders by range of offsets (``sources.log.write_chunked_log``).
-CHUNK = "off_chunk"
-CHUNK_OFFSETS = 1 << 20
+#: Columns of logs stored by range of offsets (``sources.log.write_chunked_log``): the range,
+#: and the folder it is in. Ranges of few offsets share a folder of ``FOLDER_OFFSETS`` at most,
+#: so that folders and files do not multiply with the records.
+CHUNK, FOLDER = "off_chunk", "off_folder"
+CHUNK_OFFSETS = FOLDER_OFFSETS = 1 << 20
 
 
 def offset_chunk(off: Column | str, offsets: int = CHUNK_OFFSETS) -> Column:
@@ -28,6 +30,12 @@ def offset_chunk(off: Column | str, offsets: int = CHUNK_OFFSETS) -> Column:
     return F.floor(off / F.lit(offsets)).cast("bigint")
 
 
+def chunk_folder(chunk: Column | str, offsets: int = CHUNK_OFFSETS) -> Column:
+    """The folder that holds a range of so many offsets, by number."""
+    chunk = F.col(chunk) if isinstance(chunk, str) else chunk
+    return F.floor(chunk / F.lit(max(1, FOLDER_OFFSETS // offsets))).cast("bigint")
+
+
 def ref(topic: str = "topic", part: str = "part", off: str = "off") -> Column:
     return F.struct(
         F.col(topic).alias("topic"), F.col(part).alias("part"), F.col(off).alias("off")
@@ -45,14 +53,14 @@ def resolve_refs(
 
     Spark broadcasts the references where its size check allows it and otherwise
     shuffles both sides on the record position, which is unique per record. Of a log
-    stored by ranges of offsets (a column ``off_chunk`` of ``chunk_offsets`` each) only
+    stored by ranges of offsets (columns ``off_chunk`` of ``chunk_offsets`` each, and ``off_folder``) only
     the folders that broadcast references point into are read, whatever the log's size.
     """
     chunked = CHUNK in log.columns
     found = log.select(
         F.struct("topic", "part", "off", *columns).alias("message"),
         F.col("topic").alias("_topic"), F.col("part").alias("_part"), F.col("off").alias("_off"),
-        *([F.col(CHUNK).alias("_chunk")] if chunked else []),
+        *([F.col(CHUNK).alias("_chunk"), F.col(FOLDER).alias("_folder")] if chunked else []),
     )
     at = F.col(item)
     same = (at["topic"] == F.col("_topic")) & (at["part"] == F.col("_part")) & (at["off"] == F.col("_off"))
@@ -62,8 +70,9 @@ def resolve_refs(
     # broadcast them, where they are small, and so tell the scan of the log before it starts.
     asked = refs.select(at["topic"].alias("_of_topic"), at["part"].alias("_of_part"), at["off"].alias("_of_off")).where("_of_off >= 0").distinct()
     asked = asked.withColumn("_of_chunk", offset_chunk("_of_off", chunk_offsets))
-    place = (F.col("_of_topic") == F.col("_topic")) & (F.col("_of_part") == F.col("_part")) & (F.col("_of_chunk") == F.col("_chunk"))
-    hits = found.join(asked, place & (F.col("_of_off") == F.col("_off"))).select("message", "_topic", "_part", "_off")
+    asked = asked.withColumn("_of_folder", chunk_folder("_of_chunk", chunk_offsets))
+    place = (F.col("_of_topic") == F.col("_topic")) & (F.col("_of_part") == F.col("_part")) & (F.col("_of_folder") == F.col("_folder"))
+    hits = found.join(asked, place & (F.col("_of_chunk") == F.col("_chunk")) & (F.col("_of_off") == F.col("_off"))).select("message", "_topic", "_part", "_off")
     return refs.join(hits, same, "left").drop("_topic", "_part", "_off")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.functions.payload import encode_payload, with_event_metadata
-from keyfold.operators.refs import CHUNK, CHUNK_OFFSETS, offset_chunk
+from keyfold.operators.refs import CHUNK, CHUNK_OFFSETS, FOLDER, chunk_folder, offset_chunk
 from keyfold.schema import ATTEMPT, RECORD
 
 SOURCE_HEADER = "source-system"
@@ -76,19 +76,21 @@ def read_attempts(
 
 
 def write_chunked_log(log: DataFrame, path: str, chunk_offsets: int = CHUNK_OFFSETS) -> None:
-    """Writes records in a folder per topic, partition and range of ``chunk_offsets`` offsets.
+    """Writes records by topic, partition and range of ``chunk_offsets`` offsets.
 
     References then find their records without a scan of the log (``operators.refs``).
-    Rows of one range are spread over a few files by their offset, in order.
+    A folder has one range, or as many small ones as fit into ``refs.FOLDER_OFFSETS``
+    offsets. Rows of one folder are spread over a few files by their offset, in order.
     """
-    rows = log.withColumn(CHUNK, offset_chunk("off", chunk_offsets))
-    place = ["topic", "part", CHUNK]
+    rows = log.withColumn(CHUNK, offset_chunk("off", chunk_offsets)).withColumn(FOLDER, chunk_folder(CHUNK, chunk_offsets))
+    place = ["topic", "part", FOLDER]
     rows.repartitionByRange(*place, "off").sortWithinPartitions(*place, "off").write.partitionBy(*place).parquet(path)
 
 
 def read_chunked_log(spark: SparkSession, path: str) -> DataFrame:
-    """Records in canonical columns, and the range of offsets they are stored by."""
-    return spark.read.schema(T.StructType([*RECORD.fields, T.StructField(CHUNK, T.LongType())])).parquet(path)
+    """Records in canonical columns, and the range of offsets and the folder they are stored in."""
+    stored = [T.StructField(c, T.LongType()) for c in (CHUNK, FOLDER)]
+    return spark.read.schema(T.StructType([*RECORD.fields, *stored])).parquet(path)
 
 
 def split_excise(log: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -261,3 +261,15 @@ def test_least_held_by_brute_force(spark):
 
     want = [(i, least(k, t)) for k, i, t in instants if t is not None]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr) and sum(g is not None for _, g in want) > 100
+
+
+def test_small_ranges_of_offsets_share_folders(spark, tmp_path):
+    log = spark.createDataFrame([("t", off % 2, off, at(off), "k", "{}", None) for off in range(3000)], RECORD)
+    write_chunked_log(log, f"{tmp_path}/log", 10)
+    assert len(list(tmp_path.glob("log/topic=*/part=*/*=*"))) == 2
+    far = refs.FOLDER_OFFSETS * 3 + 7
+    write_chunked_log(log.limit(1).withColumn("off", F.lit(far).cast("long")), f"{tmp_path}/far", 10)
+    for off, path in ((2999, "log"), (far, "far")):
+        asked = spark.createDataFrame([(1, ("t", off % 2 if path == "log" else 0, off))], "n int, item struct<topic: string, part: int, off: long>")
+        got = refs.resolve_refs(asked, read_chunked_log(spark, f"{tmp_path}/{path}"), columns=["off_chunk"], chunk_offsets=10).first()
+        assert got.message is not None and (got.message.off, got.message.off_chunk) == (off, off // 10)
