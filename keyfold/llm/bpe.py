@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from keyfold.llm import words
 
-#: Distinct pieces whose ids a Python worker keeps, some 40 MB, and pairs of tokens, some
-#: 40 MB more. A table is emptied when full.
+#: Distinct pieces whose ids a Python worker keeps, some 30 MB, and pairs of tokens, some
+#: 40 MB more. A table is emptied when full. Decoded bytes are not kept beside the ids:
+#: what a worker keeps stays with it through all later stages.
 KEPT_PIECES = 150_000
 KEPT_PAIRS = 200_000
 _NEVER = 1 << 62
@@ -155,18 +156,17 @@ def encode_texts(texts: Iterable[str], vocabulary: bytes, pattern: str) -> Itera
     """Ids of each text as int32 bytes, and the bytes those ids decode to."""
     encoder, split, seen = _loaded(vocabulary, pattern)
     for text in texts:
-        ids, back = [], []
+        ids = []
         for piece in split.findall(text):
-            both = seen.get(piece)
-            if both is None:
-                own = encoder.encode(piece.encode())
-                both = np.array(own, dtype=np.int32).tobytes(), encoder.decode(own)
+            own = seen.get(piece)
+            if own is None:
+                own = np.array(encoder.encode(piece.encode()), dtype=np.int32).tobytes()
                 if len(seen) >= KEPT_PIECES:
                     seen.clear()
-                seen[piece] = both
-            ids.append(both[0])
-            back.append(both[1])
-        yield b"".join(ids), b"".join(back)
+                seen[piece] = own
+            ids.append(own)
+        joined = b"".join(ids)
+        yield joined, encoder.decode(np.frombuffer(joined, dtype=np.int32).tolist())
 
 
 def encode_decode(df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text") -> DataFrame:

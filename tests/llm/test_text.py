@@ -480,3 +480,15 @@ def test_pipeline_stages(spark, docs, tmp_path):
     leaked = {r.doc_id for r in leaks.find_leaks(frame, spark.createDataFrame(bench, "item_id long, text string")).where(F.size("hit_runs") > 0).collect()}
     assert kept == {i for i, k in groups.items() if k} - leaked
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == kept
+
+
+def test_a_worker_keeps_ids_alone():
+    """What a worker keeps stays in its memory through later stages: decoded bytes come from the ids."""
+    import base64
+
+    vocabulary = b"\n".join(base64.b64encode(bytes([b])) + b" %d" % b for b in range(256)) + b"\nYWI= 256\n"
+    got = list(bpe.encode_texts(["ab abc", "", "cab"], vocabulary, r"\S+|\s+"))
+    ids = [np.frombuffer(i, dtype=np.int32).tolist() for i, _ in got]
+    assert ids == [[256, 32, 256, 99], [], [99, 256]] and [b for _, b in got] == [b"ab abc", b"", b"cab"]
+    _, _, kept = bpe._loaded(vocabulary, r"\S+|\s+")
+    assert len(kept) == 4 and all(type(own) is bytes for own in kept.values())
