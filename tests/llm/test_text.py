@@ -492,3 +492,50 @@ def test_a_worker_keeps_ids_alone():
     assert ids == [[256, 32, 256, 99], [], [99, 256]] and [b for _, b in got] == [b"ab abc", b"", b"cab"]
     _, _, kept = bpe._loaded(vocabulary, r"\S+|\s+")
     assert len(kept) == 4 and all(type(own) is bytes for own in kept.values())
+
+
+def test_new_pieces_go_side_by_side(monkeypatch):
+    """New pieces are not encoded one by one: few long ones go alone."""
+    alone, encode = [], bpe.PrefixBpe.encode
+    monkeypatch.setattr(bpe.PrefixBpe, "encode", lambda self, piece: alone.append(piece) or encode(self, piece))
+    vocabulary, pattern = queries.vocabulary()
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("aeinrst", k=rng.randrange(3, 12))) for _ in range(400)) for _ in range(5)]
+    bpe._loaded.cache_clear()
+    list(bpe.encode_texts(texts, vocabulary, pattern))
+    assert len(bpe._loaded(vocabulary, pattern)[2]) > 1500 and len(alone) < 200
+    with pytest.raises(ValueError, match="lacks"):
+        list(bpe.encode_texts(["ab" * n for n in range(1, 300)], b"YQ== 0\nYWE= 1\n", r"\S+"))
+
+
+def test_side_by_side_equals_the_library(monkeypatch):
+    """Random merges in order, gaps between ranks, tokens that no merge makes, pieces of any length, tables of every size."""
+    import base64
+
+    tiktoken = pytest.importorskip("tiktoken")
+    monkeypatch.setattr(bpe, "SIDE_BY_SIDE", 5, raising=False)
+    pattern = r"\S+|\s+"
+    for seed in range(12):
+        rng = random.Random(seed)
+        letters = "abé漢" if seed % 2 else "ab"
+        tokens = [bytes([b]) for b in range(256)]
+        while len(tokens) < 346:
+            new = b"".join(rng.choices([*tokens[256:], b"a", b"b", b"\xc3", b"\xa9"], k=2))
+            if new not in tokens and len(new) < 12:
+                tokens.append(new)
+        tokens += sorted({"".join(rng.choices(letters, k=5)).encode() for _ in range(20)} - set(tokens))
+        gap = 1 if seed % 3 else 7
+        vocabulary = b"\n".join(base64.b64encode(t) + b" %d" % (i * gap) for i, t in enumerate(tokens))
+        texts = [" ".join("".join(rng.choices(letters, k=int(rng.paretovariate(0.7)) % 300)) for _ in range(rng.randrange(60)))
+                 for _ in range(30)] + ["", "a" * 5000]
+        library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+        want = [[i * gap for i in library.encode_ordinary(text)] for text in texts]
+        for kept, size in ((150_000, 1 << 18), (80, 4000), (7, 300)):
+            monkeypatch.setattr(bpe, "KEPT_PIECES", kept)
+            monkeypatch.setattr(bpe, "SIDE_BYTES", size, raising=False)
+            bpe._loaded.cache_clear()
+            got = list(bpe.encode_texts(texts, vocabulary, pattern))
+            assert [np.frombuffer(i, dtype=np.int32).tolist() for i, _ in got] == want
+            assert [b for _, b in got] == [text.encode() for text in texts]
+            assert len(bpe._loaded(vocabulary, pattern)[2]) <= kept
+    bpe._loaded.cache_clear()
