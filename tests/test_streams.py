@@ -197,3 +197,28 @@ def test_a_request_asked_for_again_finds_what_waited(spark, tmp_path):
         (micro_batches(spark, tmp_path / "answers", told), last | {"subsystem": "end", "resp_no": 0})).where("request_id <> -1")
     assert rows(got, "request_id", "subsystem", "value", "kind") == sorted([
         (1, "a", "1", None), (1, "b", "73", None), (2, "a", None, "timeout")], key=repr)
+
+
+def test_requests_share_keys_of_state(spark, tmp_path):
+    """Forty requests are two keys of state; what waits, what is answered and what times out stays each request's own."""
+    ids = [f"q{i}" for i in range(40)]
+    asked = spark.createDataFrame([(q, at(20 + i), ["a", "b"], 5000 + 1000 * (i % 4)) for i, q in enumerate(ids)],
+                                  "request_id string, ts timestamp, subsystems array<string>, timeout_ms long")
+    steps = [[(q, s, 21 + i + n % 3, 100 - n) for i, q in enumerate(ids) for s in "ax" for n in range(20 if i % 5 == 0 else 1)],
+             [(q, "b", 22 + i + i % 9, 500) for i, q in enumerate(ids) if i % 3]]
+    frames = [spark.createDataFrame([(q, s, at(t), n, True, str(n), None, None) for q, s, t, n in step],
+                                    f"request_id string, subsystem string, ts timestamp, resp_no long, {BODY}") for step in steps]
+    (tmp_path / "asked").mkdir()
+    (tmp_path / "answers").mkdir()
+    questions = micro_batches(spark, tmp_path / "asked", [asked.limit(0), asked])
+    last = {"request_id": "end", "ts": END}
+    name = f"shared-{tmp_path.name}"
+    got = run_to_end(
+        lambda q, a: request_outcomes_stream(q, a, "600 seconds", bundles=2), name,
+        (questions, last | {"subsystems": ["end"], "timeout_ms": 0}),
+        (micro_batches(spark, tmp_path / "answers", frames), last | {"subsystem": "end", "resp_no": 0})).where("request_id <> 'end'")
+    want = request_outcomes(asked, frames[0].unionAll(frames[1]))
+    columns = ["request_id", "subsystem", "ok", "value", "kind", "resp_ts"]
+    assert want.count() == 80 and rows(got, *columns) == rows(want, *columns)
+    keys = spark.read.format("statestore").option("stateVarName", "bundle").option("batchId", 1).load(f"{shared_dir(spark)}/{name}/checkpoint")
+    assert keys.count() == 2
