@@ -1,6 +1,7 @@
 """Streams in several micro-batches against their table forms."""
 
 import random
+from pathlib import Path
 
 import pytest
 from fixtures import at, micro_batches, records, rows
@@ -222,3 +223,22 @@ def test_requests_share_keys_of_state(spark, tmp_path):
     assert want.count() == 80 and rows(got, *columns) == rows(want, *columns)
     keys = spark.read.format("statestore").option("stateVarName", "bundle").option("batchId", 1).load(f"{shared_dir(spark)}/{name}/checkpoint")
     assert keys.count() == 2
+
+
+def test_joined_requests_run_to_their_end_in_one_store(spark, tmp_path):
+    asked = spark.createDataFrame([(i, at(i * 5), ["a", "b", "a"]) for i in range(1, 9)], "request_id long, ts timestamp, subsystems array<string>")
+    steps = [[(1, "a", 6, 0), (2, "b", 11, 1), (4, "a", 19, 2), (4, "b", 30, 3)], [(3, "a", 30, 4), (5, "a", 26, 5), (5, "x", 27, 6)]]
+    frames = [spark.createDataFrame([(q, s, at(t), n, True, str(n), None, None) for q, s, t, n in step],
+                                    f"request_id long, subsystem string, ts timestamp, resp_no long, {BODY}") for step in steps]
+    (tmp_path / "asked").mkdir()
+    (tmp_path / "answers").mkdir()
+    last, name = {"request_id": -1, "ts": END}, f"one-store-{tmp_path.name}"
+    got = run_to_end(
+        lambda q, a: request_outcomes_join(q, a, 10, "60 seconds"), name,
+        (micro_batches(spark, tmp_path / "asked", [asked.where(f"request_id % 2 = {i}") for i in range(2)]), last | {"subsystems": ["end"]}),
+        (micro_batches(spark, tmp_path / "answers", frames), last | {"subsystem": "end", "resp_no": 0})).where("request_id <> -1")
+    want = request_outcomes(asked.withColumn("timeout_ms", F.lit(10_000)), frames[0].unionAll(frames[1]))
+    columns = ["request_id", "subsystem", "ok", "value", "kind", "resp_ts"]
+    assert want.count() == 16 and rows(got, *columns) == rows(want, *columns)
+    state = Path(shared_dir(spark), name, "checkpoint", "state")
+    assert not [p.name for p in state.glob("*/0/*keyToNumValues")] and len(list(state.glob("*/0"))) == 2
