@@ -58,6 +58,7 @@ def test_page_blocks():
     assert pages.blocks(None) == pages.blocks("") == ([], False)
     assert pages.blocks("plain  text") == (["plain text"], False)
     assert pages.blocks("<p>unclosed <b>a<p>b") == (["unclosed a", "b"], False)
+    assert pages.blocks("<main><p>a<svg id=x /><p>b<p>c<svg><text>no</text></svg>d") == (["a", "b", "cd"], True)
 
 
 def test_shared_lines_are_a_longest_common_subsequence():
@@ -93,6 +94,23 @@ def test_pages_lose_lines_shared_with_the_nearest_page(spark):
         assert other[1 if kind == "int" else "1"] == one and len(other) == 7
 
 
+def test_marked_articles_lose_what_all_pages_around_them_have(spark):
+    def body(n, *more):
+        lines = ["Share this story", f"own text of page {n} about rivers", *more, f"and what page {n} ends with", "Story goes on below", f"last of {n}"]
+        return "<nav>menu</nav><article>" + "".join(f"<p>{line}</p>" for line in lines) + "</article><p>outside</p>"
+
+    rows = [(n, f"http://h.org/a/{n}", body(n, *["quoted by some"] * (n % 2))) for n in range(6)]
+    rows += [(6, "http://h.org/a/5", body(5, "quoted by some"))]  # a copy is no witness
+    rows += [(n, f"http://small.org/a/{n}", body(n)) for n in range(10, 14)]  # three others are too few
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text.split("\n") for r in pages.extract(frame).collect()}
+    for n in range(7):
+        m = min(n, 5)
+        assert got[n] == [f"own text of page {m} about rivers", *["quoted by some"] * (m % 2), f"and what page {m} ends with", f"last of {m}"]
+    for n in range(10, 14):
+        assert len(got[n]) == 5 and got[n][0] == "Share this story"
+
+
 def test_quality_holds_out_and_separates(spark, docs):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice(["good", "plain", "word", "text", "story"]) for _ in range(30)) if i % 2 else
