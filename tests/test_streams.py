@@ -205,7 +205,8 @@ def test_requests_share_keys_of_state(spark, tmp_path):
     ids = [f"q{i}" for i in range(40)]
     asked = spark.createDataFrame([(q, at(20 + i), ["a", "b"], 5000 + 1000 * (i % 4)) for i, q in enumerate(ids)],
                                   "request_id string, ts timestamp, subsystems array<string>, timeout_ms long")
-    steps = [[(q, s, 21 + i + n % 3, 100 - n) for i, q in enumerate(ids) for s in "ax" for n in range(20 if i % 5 == 0 else 1)],
+    steps = [[(q, s, 21 + i + n % 3, 100 - n) for i, q in enumerate(ids) for s in "ax" for n in range(20 if i % 5 == 0 else 1)]
+             + [(q, "a", 21 + i, None) for i, q in enumerate(ids) if i % 4 == 0],
              [(q, "b", 22 + i + i % 9, 500) for i, q in enumerate(ids) if i % 3]]
     frames = [spark.createDataFrame([(q, s, at(t), n, True, str(n), None, None) for q, s, t, n in step],
                                     f"request_id string, subsystem string, ts timestamp, resp_no long, {BODY}") for step in steps]
